@@ -43,8 +43,8 @@ def split_key_list(spark: SparkSession, regions: int) -> list[str]:
     return spark.range(1).select(split_keys(F.lit(regions)).alias("keys")).first()["keys"]
 
 
-def region_of(key: Column, bounds: Sequence[str]) -> Column:
-    """Number of start keys that are not above ``key``; ``bounds`` is sorted and distinct.
+def region_of(key: str, bounds: Sequence[str]) -> Column:
+    """Number of start keys that are not above column ``key``; ``bounds`` is sorted and distinct.
 
     Up to ``MAX_TREE_BOUNDS`` bounds become a balanced comparison tree: seven string
     comparisons for 100 regions, all inside whole-stage codegen. Beyond that a tree
@@ -53,28 +53,35 @@ def region_of(key: Column, bounds: Sequence[str]) -> Column:
     bounds = list(bounds)
     if any(a >= b for a, b in zip(bounds, bounds[1:])):
         raise ValueError("region bounds must be sorted and distinct")
+    name = "`" + key.replace("`", "``") + "`"
     if len(bounds) <= MAX_TREE_BOUNDS:
-        return _tree(key, bounds, list(range(len(bounds) + 1)))
+        return F.expr(_tree(name, bounds, list(range(len(bounds) + 1))))
     run = -(-len(bounds) // MAX_TREE_BOUNDS)
-    start = _tree(key, bounds[run - 1 :: run], list(range(0, len(bounds) + 1, run)))
-    array = F.array(*[F.lit(b) for b in bounds])
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(run.bit_length()))])
+    start = _tree(name, bounds[run - 1 :: run], list(range(0, len(bounds) + 1, run)))
+    array = f"array({', '.join(map(_literal, bounds))})"
+    steps = ", ".join(str(1 << i) for i in reversed(range(run.bit_length())))
+    return F.expr(
+        f"aggregate(array({steps}), {start}, (count, step) -> if("
+        f"count + step <= {len(bounds)} and get({array}, count + step - 1) <= {name}, "
+        "count + step, count))"
+    )
 
-    def advance(count: Column, step: Column) -> Column:
-        fits = (count + step <= len(bounds)) & (F.get(array, count + step - 1) <= key)
-        return F.when(fits, count + step).otherwise(count)
 
-    return F.aggregate(steps, start, advance)
+def _literal(text: str) -> str:
+    if text.isascii() and text.isalnum():
+        return f"'{text}'"
+    return f"cast(X'{text.encode().hex()}' as string)"
 
 
-def _tree(key: Column, bounds: list[str], counts: list[int]) -> Column:
-    """Value of ``counts`` for the gap between ``bounds`` that ``key`` falls into."""
+def _tree(name: str, bounds: list[str], counts: list[int]) -> str:
+    """SQL for the value of ``counts`` at the gap between ``bounds`` that ``name`` falls
+    into. Built as text: one parse is much cheaper than a call per comparison."""
     if not bounds:
-        return F.lit(counts[0])
+        return str(counts[0])
     mid = len(bounds) // 2
-    return F.when(key < F.lit(bounds[mid]), _tree(key, bounds[:mid], counts[: mid + 1])).otherwise(
-        _tree(key, bounds[mid + 1 :], counts[mid + 1 :])
-    )
+    below = _tree(name, bounds[:mid], counts[: mid + 1])
+    above = _tree(name, bounds[mid + 1 :], counts[mid + 1 :])
+    return f"if({name} < {_literal(bounds[mid])}, {below}, {above})"
 
 
 def region_of_key(key: str, bounds: Sequence[str]) -> int:

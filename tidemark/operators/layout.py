@@ -25,7 +25,7 @@ def live_region_bounds(regions: DataFrame) -> DataFrame:
 
 
 def with_region(keyed: DataFrame, bounds: Sequence[str], key: str = "userid_ts") -> DataFrame:
-    return keyed.withColumn("region", region_of(F.col(key), bounds))
+    return keyed.withColumn("region", region_of(key, bounds))
 
 
 def by_region(placed: DataFrame, *groups: str) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.ranking import with_position
 from tidemark.shared import read_or_empty
 
-LEDGER_SCHEMA = "bucket_ts bigint, path string, batch_id bigint, loaded_at timestamp"
+LEDGER_SCHEMA = (
+    "bucket_ts bigint, path string, batch_id bigint, loaded_at timestamp, finished_at timestamp"
+)
+LEDGER_COLUMNS = ["bucket_ts", "path", "batch_id", "loaded_at", "finished_at"]
 
 
 def unique_buckets(ready: DataFrame) -> DataFrame:
@@ -38,6 +41,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, LEDGER_SCHEMA)
 
 
+def load_log(processed: DataFrame) -> DataFrame:
+    """One row per load, from the rows it left in the ledger."""
+    return processed.groupBy(F.col("batch_id").alias("iteration")).agg(
+        F.unix_seconds(F.min("loaded_at")).alias("started"),
+        F.unix_seconds(F.max("finished_at")).alias("finished"),
+        F.count("*").cast("int").alias("n_buckets"),
+    )
+
+
 def mark_processed(loaded: DataFrame, path: str) -> None:
     """Append one row per bucket; buckets the ledger holds already are left alone.
 
@@ -45,5 +57,5 @@ def mark_processed(loaded: DataFrame, path: str) -> None:
     as one file, so that they become visible together.
     """
     spark = loaded.sparkSession
-    new = pending(loaded, read_ledger(spark, path)).select("bucket_ts", "path", "batch_id", "loaded_at")
+    new = pending(loaded, read_ledger(spark, path)).select(*LEDGER_COLUMNS)
     new.coalesce(1).write.mode("append").parquet(path)

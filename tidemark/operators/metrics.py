@@ -26,7 +26,6 @@ TRAILING_LOADS = 12
 # ----------------------------------------------------------------------------------
 
 METRICS_SCHEMA = "name string, value string, updated_at timestamp"
-LOAD_LOG_SCHEMA = "iteration bigint, started bigint, finished bigint, n_buckets int"
 
 
 def load_time(started: Column, finished: Column, n_buckets: Column) -> Column:
@@ -109,12 +108,8 @@ def write_metrics(spark: SparkSession, path: str, values: dict[str, object]) ->
     frame.withColumn("updated_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
 
 
-def read_load_log(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, LOAD_LOG_SCHEMA)
-
-
-def recent_load_mean(load_log: DataFrame, window: int = TRAILING_LOADS) -> int | None:
-    """The mean the next load shows: over the newest ``window`` entries, a top-k."""
+def recent_loads(load_log: DataFrame, window: int = TRAILING_LOADS) -> DataFrame:
+    """The newest ``window`` loads with their load times: a distributed top-k."""
     recent = load_log.orderBy(F.desc("iteration")).limit(window)
-    times = load_times(recent).agg(F.sum("load_time").alias("s"), F.count("*").alias("n")).first()
-    return times["s"] // times["n"] if times["n"] else None
+    spent = load_time(F.col("started"), F.col("finished"), F.col("n_buckets"))
+    return recent.select("iteration", spent.alias("load_time"))

@@ -16,7 +16,7 @@ from tidemark.functions.fields import USER_KEY_SEPARATOR
 from tidemark.functions.regions import region_interval, region_of_key, split_key_list
 from tidemark.operators.layout import by_region
 from tidemark.settings import LoadSettings
-from tidemark.shared import delete_path, path_exists, session_setting
+from tidemark.shared import delete_path, many_folders, path_exists, session_setting
 
 TABLE_COLUMNS = (
     "userid_ts string, payload string, location_history string, loaded_at timestamp, "
@@ -59,7 +59,8 @@ def publish(rows: DataFrame, settings: LoadSettings) -> None:
     only the partitions that occur in ``rows`` are replaced."""
     spark = rows.sparkSession
     ordered = by_region(rows.select(*COLUMN_ORDER), "bucket_ts")
-    with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    dynamic = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+    with dynamic, many_folders(spark):
         ordered.write.mode("overwrite").insertInto(settings.table)
 
 

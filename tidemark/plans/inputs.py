@@ -116,31 +116,38 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- written inputs: once per application and table folder ---------------------------
 
 
-def landing(spark: SparkSession, sf_dir: str, width: int = BUCKET_SECONDS) -> str:
-    """Root of bucket folders holding ``lines``."""
-    return _landing(spark, spark.sparkContext.applicationId, sf_dir, width)
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    """Root of bucket folders holding ``lines``, one folder a day: the tables have few
+    events per half hour, and a folder with seven lines would measure file creation."""
+    return _landing(spark, spark.sparkContext.applicationId, sf_dir)
 
 
 @cache
-def _landing(spark: SparkSession, _app: str, sf_dir: str, width: int) -> str:
+def _landing(spark: SparkSession, _app: str, sf_dir: str) -> str:
     root = new_folder(spark, "landing")
-    bucket_source.write_buckets(lines(spark, sf_dir, width), root)
+    bucket_source.write_buckets(lines(spark, sf_dir, DAY_SECONDS), root)
     return root
 
 
-def folders(spark: SparkSession, sf_dir: str, width: int = BUCKET_SECONDS) -> DataFrame:
+def days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = bucket_start(F.col("sec"), DAY_SECONDS).alias("bucket_ts")
+    return events(spark, sf_dir).select(day).distinct()
+
+
+def folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ready entries that point at the bucket folders of ``landing``."""
-    root = landing(spark, sf_dir, width)
-    found = events(spark, sf_dir).select(bucket_start(F.col("sec"), width).alias("bucket_ts")).distinct()
-    return found.withColumn("path", F.concat(F.lit(f"{root}/ts="), F.col("bucket_ts").cast("string")))
+    root = landing(spark, sf_dir)
+    return days(spark, sf_dir).withColumn("path", F.concat(F.lit(f"{root}/ts="), F.col("bucket_ts").cast("string")))
 
 
-def new_settings(spark: SparkSession, label: str) -> LoadSettings:
+def new_settings(
+    spark: SparkSession, label: str, buckets_per_load: int = BUCKETS_PER_LOAD
+) -> LoadSettings:
     root = new_folder(spark, label)
     return LoadSettings(
         table="tidemark_" + root.rsplit("/", 1)[1].replace("-", "_"),
         root=root,
-        buckets_per_load=BUCKETS_PER_LOAD,
+        buckets_per_load=buckets_per_load,
         regions=TABLE_REGIONS,
     )
 
@@ -154,6 +161,6 @@ def loaded(spark: SparkSession, sf_dir: str) -> LoadSettings:
 def _loaded(spark: SparkSession, _app: str, sf_dir: str) -> LoadSettings:
     settings = new_settings(spark, "batch")
     listing = new_folder(spark, "ready")
-    manifest.announce(folders(spark, sf_dir, DAY_SECONDS), listing)
+    manifest.announce(folders(spark, sf_dir), listing)
     LoadJob(spark, settings).run(lambda: manifest.read_ready(spark, listing))
     return settings

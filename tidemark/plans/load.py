@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.fields import DATATYPE1_ARITIES, DATATYPE2_ARITIES
@@ -82,31 +82,37 @@ class LoadJob:
         batch = ledger.next_batch(waiting, settings.buckets_per_load).collect()
         if not batch:
             return None
-        batch_id = (processed.agg(F.max("batch_id")).first()[0] or 0) + 1
+        recent = metrics.recent_loads(ledger.load_log(processed)).collect()
+        backlog = self._backlog(ready if listing is None else listing, processed, batch[-1])
+        self._before(batch[-1], started, recent, backlog["ahead"])
         paths = [row["path"] for row in batch]
         names = [row["bucket_ts"] for row in batch]
-        listed = ledger.unique_buckets(ready if listing is None else listing)
-        self._before(ledger.pending(listed, processed), batch[-1], started)
-        loaded_at = F.timestamp_seconds(F.lit(started))
         if settings.mode == "datatype1":
-            seen, dropped = self._write(paths, names, loaded_at)
+            seen, dropped = self._write(paths, names, started)
         else:
             seen, dropped = self._count(paths, DATATYPE2_ARITIES)
-        done = spark.createDataFrame([(r["bucket_ts"], r["path"]) for r in batch], "bucket_ts bigint, path string")
-        ledger.mark_processed(
-            done.select(
-                "bucket_ts", "path", F.lit(batch_id).cast("bigint").alias("batch_id"), loaded_at.alias("loaded_at")
-            ),
-            settings.ledger_path,
-        )
         finished = int(self._clock())
+        batch_id = max((row["iteration"] for row in recent), default=0) + 1
         result = LoadResult(batch_id, len(batch), seen, dropped, started, finished)
-        self._after(listed, result, paths, names)
+        self._mark(batch, result)
+        self._after(result, paths, names, backlog["ready"], backlog["processed"] + len(batch))
         return result
 
+    def _mark(self, batch: list, result: LoadResult) -> None:
+        done = self.spark.createDataFrame(
+            [(row["bucket_ts"], row["path"]) for row in batch], "bucket_ts bigint, path string"
+        ).withColumns(
+            {
+                "batch_id": F.lit(result.batch_id).cast("bigint"),
+                "loaded_at": F.timestamp_seconds(F.lit(result.started)),
+                "finished_at": F.timestamp_seconds(F.lit(result.finished)),
+            }
+        )
+        ledger.mark_processed(done, self.settings.ledger_path)
+
     # --- data ----------------------------------------------------------------------
 
-    def _write(self, paths: list[str], names: list[int], loaded_at) -> tuple[int, int]:
+    def _write(self, paths: list[str], names: list[int], started: int) -> tuple[int, int]:
         spark, settings = self.spark, self.settings
         records = parse.with_fields(read_buckets(spark, paths))
         records, observed = quality.observe_arity(records, DATATYPE1_ARITIES)
@@ -116,8 +122,8 @@ class LoadJob:
             keyed = self._locate(keyed, self.location)
         else:
             keyed = keyed.withColumn("location_history", F.lit(None).cast("string"))
-        rows = keyed.withColumn("region", region_of(F.col("userid_ts"), self.bounds)).withColumn(
-            "loaded_at", loaded_at
+        rows = keyed.withColumn("region", region_of("userid_ts", self.bounds)).withColumn(
+            "loaded_at", F.timestamp_seconds(F.lit(started))
         )
         table.drop_buckets(spark, settings, names)
         table.publish(rows, settings)
@@ -143,13 +149,25 @@ class LoadJob:
     def _metrics(self, values: dict[str, object]) -> None:
         metrics.write_metrics(self.spark, self.settings.metrics_path, values)
 
-    def _before(self, waiting: DataFrame, bucket, started: int) -> None:
-        past = metrics.read_load_log(self.spark, self.settings.load_log_path)
+    def _backlog(self, listing: DataFrame, processed: DataFrame, bucket) -> Row:
+        """Sizes of both lists, and how many waiting buckets are newer than ``bucket``."""
+        is_ready, is_done = F.col("ready").isNotNull(), F.col("done").isNotNull()
+        ready = ledger.unique_buckets(listing).select("bucket_ts", F.lit(1).alias("ready"))
+        done = processed.select("bucket_ts", F.lit(1).alias("done"))
+        newer = F.col("bucket_ts") > bucket["bucket_ts"]
+        both = ready.join(done, "bucket_ts", "full")
+        return both.agg(
+            F.count_if(is_ready).alias("ready"),
+            F.count_if(is_done).alias("processed"),
+            F.count_if(is_ready & ~is_done & newer).alias("ahead"),
+        ).first()
+
+    def _before(self, bucket, started: int, recent: list[Row], ahead: int) -> None:
+        times = [row["load_time"] for row in recent]
         lag = started - bucket["bucket_ts"]
-        ahead = waiting.where(F.col("bucket_ts") > bucket["bucket_ts"]).count()
         self._metrics(
             {
-                metrics.MEAN_LOAD_TIME: metrics.recent_load_mean(past),
+                metrics.MEAN_LOAD_TIME: sum(times) // len(times) if times else None,
                 metrics.CURRENT_PATH: bucket["path"],
                 metrics.CURRENT_TS: bucket["bucket_ts"],
                 metrics.DELAY_OVERALL: lag,
@@ -158,20 +176,16 @@ class LoadJob:
             }
         )
 
-    def _after(self, listed: DataFrame, result: LoadResult, paths: list[str], names: list[int]) -> None:
-        spark, settings = self.spark, self.settings
-        entry = [(result.batch_id, result.started, result.finished, result.buckets)]
-        load_log = spark.createDataFrame(entry, metrics.LOAD_LOG_SCHEMA)
-        load_log.coalesce(1).write.mode("append").parquet(settings.load_log_path)
-        processed = ledger.read_ledger(spark, settings.ledger_path)
-        sizes = {r["name"]: r["entries"] for r in metrics.ledger_counts(listed, processed).collect()}
-        last_time = metrics.load_times(load_log).first()["load_time"]
+    def _after(
+        self, result: LoadResult, paths: list[str], names: list[int], ready: int, processed: int
+    ) -> None:
         self._metrics(
             {
-                **sizes,
+                metrics.READY_COUNT: ready,
+                metrics.PROCESSED_COUNT: processed,
                 metrics.LAST_PATH: ",".join(paths),
                 metrics.LAST_TS: ",".join(map(str, names)),
-                metrics.LAST_LOAD_TIME: last_time,
+                metrics.LAST_LOAD_TIME: (result.finished - result.started) // result.buckets,
             }
         )
         log.info("loaded batch %d: %s", result.batch_id, result)

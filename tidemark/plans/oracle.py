@@ -140,9 +140,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT region, userid_ts, payload,
                row_number() OVER (PARTITION BY region ORDER BY userid_ts, payload) AS position
         FROM placed""",
-    "multi_bucket_scan": f"WITH {_LINES} SELECT bucket_ts, line FROM lines",
-    "bucket_discovery": f"WITH {_EV} SELECT bucket_ts, count(*) AS n_lines FROM ev GROUP BY bucket_ts",
-    "ready_listing": f"WITH {_READY} SELECT bucket_ts, path FROM ready",
+    "multi_bucket_scan": f"WITH {_LINES} SELECT sec // 86400 * 86400 AS bucket_ts, line FROM lines",
+    "bucket_discovery": f"""WITH {_EV}
+        SELECT sec // 86400 * 86400 AS bucket_ts, count(*) AS n_lines FROM ev GROUP BY 1""",
+    "ready_listing": f"""WITH {_EV}
+        SELECT DISTINCT sec // 86400 * 86400 AS bucket_ts, '/in/ts=' || (sec // 86400 * 86400) AS path
+        FROM ev""",
     "ready_minus_processed": f"""WITH {_READY}
         SELECT bucket_ts, path FROM ready r
         WHERE NOT EXISTS (SELECT 1 FROM processed p WHERE p.bucket_ts = r.bucket_ts)""",

@@ -161,7 +161,9 @@ def bucket_discovery(spark, sf_dir):
 @query
 def ready_listing(spark, sf_dir):
     listing = new_folder(spark, "ready")
-    manifest.announce(inputs.ready(spark, sf_dir), listing)
+    days = inputs.days(spark, sf_dir)
+    path = F.concat(F.lit(inputs.READY_ROOT), F.col("bucket_ts").cast("string"))
+    manifest.announce(days.withColumn("path", path), listing)
     return manifest.read_ready(spark, listing)
 
 
@@ -184,7 +186,8 @@ def processed_ledger(spark, sf_dir):
 
     def entries(frame, batch_id):
         number = F.lit(batch_id).cast("bigint").alias("batch_id")
-        return frame.select("bucket_ts", "path", number, loaded_at.alias("loaded_at"))
+        times = [loaded_at.alias("loaded_at"), loaded_at.alias("finished_at")]
+        return frame.select("bucket_ts", "path", number, *times)
 
     ledger.mark_processed(entries(inputs.processed(spark, sf_dir), 1), path)
     for batch_id in (2, 3):
@@ -427,10 +430,10 @@ def _stored(spark, settings):
 
 @query
 def stream_load(spark, sf_dir):
-    """All day buckets announced at once and loaded five to a micro-batch."""
-    settings = inputs.new_settings(spark, "stream")
+    """All day buckets announced at once and loaded ten to a micro-batch."""
+    settings = inputs.new_settings(spark, "stream", buckets_per_load=10)
     listing, checkpoint = new_folder(spark, "ready"), new_folder(spark, "offsets")
-    manifest.announce(inputs.folders(spark, sf_dir, inputs.DAY_SECONDS), listing)
+    manifest.announce(inputs.folders(spark, sf_dir), listing)
     start_load_stream(LoadJob(spark, settings), listing, checkpoint).awaitTermination()
     return _stored(spark, settings)
 
@@ -439,9 +442,9 @@ def stream_load(spark, sf_dir):
 def late_bucket(spark, sf_dir):
     """The second half of the month is loaded first. Then the first half turns up, and
     the loaded buckets are announced again with another folder's content."""
-    settings = inputs.new_settings(spark, "late")
+    settings = inputs.new_settings(spark, "late", buckets_per_load=10)
     listing, checkpoint = new_folder(spark, "ready"), new_folder(spark, "offsets")
-    folders = inputs.folders(spark, sf_dir, inputs.DAY_SECONDS)
+    folders = inputs.folders(spark, sf_dir)
     newer = F.col("bucket_ts") >= 1_705_276_800
     job = LoadJob(spark, settings)
     manifest.announce(folders.where(newer), listing)

@@ -60,7 +60,7 @@ class LoadSettings:
     """What one load job needs to know.
 
     ``root`` is a folder all executors reach. The table, its region bounds, the
-    processed ledger, the load log and the metrics live below it.
+    processed ledger and the metrics live below it.
     """
 
     table: str
@@ -109,10 +109,6 @@ class LoadSettings:
     def ledger_path(self) -> str:
         return f"{self.root}/processed"
 
-    @property
-    def load_log_path(self) -> str:
-        return f"{self.root}/load_log"
-
     @property
     def metrics_path(self) -> str:
         return f"{self.root}/metrics"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -67,3 +67,10 @@ def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def many_folders(spark: SparkSession) -> AbstractContextManager[None]:
+    """For a rebalanced write into many folders. Each folder gets a file of its own
+    whichever task writes it, so packing small shuffle partitions into one task would
+    save no file and only take the parallelism away. Hot partitions are still split."""
+    return session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import bucket_of_file, parse_bucket_path
+from tidemark.shared import many_folders
 
 
 def read_buckets(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
@@ -41,4 +42,5 @@ def write_buckets(lines: DataFrame, root: str, name: str = "ts") -> None:
     Rebalancing by bucket gives each folder few files, and cuts a hot bucket up.
     """
     renamed = lines.select("value", F.col("bucket_ts").alias(name))
-    renamed.hint("rebalance", name).write.partitionBy(name).text(root)
+    with many_folders(lines.sparkSession):
+        renamed.hint("rebalance", name).write.partitionBy(name).text(root)

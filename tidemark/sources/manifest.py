@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import many_folders
+
 MANIFEST_SCHEMA = "value string, bucket_ts bigint"
 
 
 def announce(buckets: DataFrame, manifest: str) -> None:
     """Add ready entries for (``bucket_ts``, ``path``), one file each."""
     entries = buckets.select(F.col("path").alias("value"), "bucket_ts")
-    entries.repartition("bucket_ts").write.mode("append").partitionBy("bucket_ts").text(manifest)
+    with many_folders(buckets.sparkSession):
+        spread = entries.hint("rebalance", "bucket_ts")
+        spread.write.mode("append").partitionBy("bucket_ts").text(manifest)
 
 
 def read_ready(spark: SparkSession, manifest: str) -> DataFrame:

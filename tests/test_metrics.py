@@ -1,0 +1,108 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.fields import DATATYPE1_ARITIES
+from tidemark.operators import enrich, metrics, parse, quality
+
+LOG = "iteration bigint, started bigint, finished bigint, n_buckets int"
+
+
+@pytest.mark.parametrize("started,finished,n,want", [(100, 111, 5, 2), (100, 111, 0, 11), (100, 100, 3, 0)])
+def test_load_time(spark, started, finished, n, want):
+    log = spark.createDataFrame([(1, started, finished, n)], LOG)
+    assert metrics.load_times(log).first()["load_time"] == want
+
+
+@pytest.mark.parametrize("count", [1, 12, 13, 40])
+def test_trailing_mean(spark, count):
+    times = [(i * 37) % 101 for i in range(1, count + 1)]
+    # iteration numbers with gaps: the window counts entries, not numbers
+    log = spark.createDataFrame([(3 * i, 0, t, 1) for i, t in enumerate(times, start=1)], LOG)
+    got = {r["iteration"]: r["mean_load_time"] for r in metrics.trailing_load_mean(log).collect()}
+    want = {}
+    for i in range(count):
+        past = times[max(0, i - 12) : i]
+        want[3 * (i + 1)] = sum(past) // len(past) if past else None
+    assert got == want
+    newest = [r["load_time"] for r in metrics.recent_loads(log).collect()]
+    assert sorted(newest) == sorted(times[-12:])
+
+
+def test_known_trailing_mean(spark):
+    log = spark.createDataFrame([(i, 0, i, 1) for i in range(1, 14)], LOG)
+    got = {r["iteration"]: r["mean_load_time"] for r in metrics.trailing_load_mean(log).collect()}
+    assert got[13] == 6 and got[1] is None
+
+
+def test_buckets_ahead(spark):
+    listed = spark.createDataFrame([(10,), (20,), (30,)], "bucket_ts bigint")
+    assert {r["bucket_ts"]: r["ahead"] for r in metrics.buckets_ahead(listed).collect()} == {10: 2, 20: 1, 30: 0}
+
+
+def test_lag_has_two_names(spark):
+    frame = spark.createDataFrame([(1517805100, 1517805000)], "s bigint, b bigint")
+    row = frame.select(*metrics.bucket_lag(F.col("s"), F.col("b"))).first().asDict()
+    assert row == {"DelayOverallHBaseLoad": 100, "DelayBulkLoader": 100}
+
+
+def test_last_value_per_name(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    assert metrics.read_metrics(spark, path).count() == 0
+    metrics.write_metrics(spark, path, {"a": 1, "b": "x", "c": None})
+    metrics.write_metrics(spark, path, {"a": 2})
+    assert {r["name"]: r["value"] for r in metrics.read_metrics(spark, path).collect()} == {"a": "2", "b": "x"}
+
+
+def test_batch_summary(spark):
+    rows = [(2, "/in/ts=2", 1), (1, "/in/ts=1", 1), (3, "/in/ts=3", 2)]
+    frame = spark.createDataFrame(rows, "bucket_ts bigint, path string, batch_id bigint")
+    got = {r["batch_id"]: (r["lastProcessedPath"], r["lastProcessedTS"]) for r in metrics.batch_summary(frame).collect()}
+    assert got == {1: ("/in/ts=1,/in/ts=2", "1,2"), 2: ("/in/ts=3", "3")}
+
+
+def test_counters_by_the_way_and_exact(spark):
+    lines = spark.createDataFrame([("a\tb\tc\td",), ("a",), ("a\tb\tc\td\te",), ("",)], "value string")
+    records = parse.with_fields(lines)
+    observed, observation = quality.observe_arity(records, DATATYPE1_ARITIES)
+    assert parse.keep_datatype1(observed).count() == 2
+    assert observation.get == {"n_split": 4, "split_drop": 2}
+    exact = quality.quality_counters(records, quality.arity_counts(DATATYPE1_ARITIES)).first()
+    assert tuple(exact) == (4, 2)
+
+
+def test_presence_counters(spark):
+    frame = spark.createDataFrame([("",), ("1",), ("_",)], "mo_imsi string")
+    row = quality.quality_counters(frame, quality.presence_counts("mo_imsi", "mo_imsi")).first()
+    assert tuple(row) == (3, 1)
+
+
+def test_refresh_is_due_strictly_after(spark):
+    assert not enrich.refresh_due(86_400, 0, 24)
+    assert enrich.refresh_due(86_401, 0, 24)
+    reads = []
+
+    def read():
+        reads.append(1)
+        return spark.createDataFrame([(1, 1, "x")], "mcc int, mnc int, location string")
+
+    dimension = enrich.RefreshedDimension(read, 24, 1000)
+    assert not dimension.refresh(1000 + 86_400) and len(reads) == 1
+    assert dimension.refresh(1001 + 86_400) and len(reads) == 2
+    assert not dimension.refresh(1002 + 86_400) and dimension.last_refresh == 1001 + 86_400
+
+
+@pytest.mark.parametrize("broadcast", [True, False, None])
+def test_location_join(spark, broadcast):
+    rows = spark.createDataFrame([(1, 310, 1), (2, 310, 2), (3, None, 1)], "i int, mcc int, mnc int")
+    places = [(310, 1, "a"), (310, 1, "b"), (999, 9, "z")]
+    dimension = spark.createDataFrame(places, "mcc int, mnc int, location string")
+    joined = enrich.with_location(rows, dimension, broadcast=broadcast)
+    assert {r["i"]: r["location_history"] for r in joined.collect()} == {1: "b", 2: None, 3: None}
+    if broadcast is not None:
+        hinted = "strategy=broadcast" in joined._jdf.queryExecution().logical().toString()
+        assert hinted == broadcast
+
+
+def test_size_check(spark):
+    frame = spark.range(1000).select(F.expr("repeat('x', 100)").alias("location"))
+    assert enrich.small_enough(frame, 200_000) and not enrich.small_enough(frame, 50_000)

@@ -23,11 +23,6 @@ WHITESPACE = " \t\r\n"
 # --------------------------------------------------------------------------------
 
 
-def _is_blank(payload: Column) -> Column:
-    text = F.btrim(payload, F.lit(WHITESPACE))
-    return payload.isNull() | (text == "") | (text == "null")
-
-
 def _document(payload: Column) -> Column:
     options = {
         "mode": "PERMISSIVE",
@@ -38,12 +33,19 @@ def _document(payload: Column) -> Column:
     return F.from_json(payload, PAYLOAD_SCHEMA, options)
 
 
-def _is_malformed(payload: Column, document: Column) -> Column:
-    """No JSON object. The typed parse also rejects a valid document whose members have
-    other types (``{"header": 5}``), so what it rejects, and only that, is parsed again."""
-    is_object = F.btrim(payload, F.lit(WHITESPACE)).startswith("{")
-    valid = F.try_parse_json(payload).isNotNull() & is_object
-    return document["_malformed"].isNotNull() & ~valid
+def _mark(payload: Column, document: Column) -> Column:
+    """'' for no document, '_' for a text that is no JSON object, null for an object.
+
+    The typed parse also rejects a valid object whose members have other types
+    (``{"header": 5}``), so what it rejects, and only that, is parsed again.
+    """
+    text = F.btrim(payload, F.lit(WHITESPACE))
+    return (
+        F.when(payload.isNull() | (text == "") | (text == "null"), F.lit(MISSING))
+        .when(document["_malformed"].isNull(), F.lit(None).cast("string"))
+        .when(~text.startswith("{"), F.lit(MALFORMED))
+        .when(F.try_parse_json(payload).isNull(), F.lit(MALFORMED))
+    )
 
 
 def is_valid_json(payload: Column) -> Column:
@@ -54,23 +56,24 @@ def is_valid_json(payload: Column) -> Column:
 def payload_fields(payload: Column, names: tuple[str, ...] = tuple(GETTERS)) -> Column:
     """Struct of the named getters over one parse of the payload.
 
-    ``transform`` over a one-element array gives the parsed document a name inside
-    the expression, so that four getters do not parse four times.
+    ``transform`` over a one-element array gives a value a name inside an expression:
+    the document is parsed once and judged once, however many getters there are.
     """
 
-    def getters(document: Column) -> Column:
-        rejected = _is_malformed(payload, document)
+    def judged(document: Column) -> Column:
+        return F.struct(document.alias("document"), _mark(payload, document).alias("mark"))
+
+    def getters(parsed: Column) -> Column:
+        document, mark = parsed["document"], parsed["mark"]
         return F.struct(
             *[
-                F.when(_is_blank(payload), F.lit(MISSING))
-                .when(rejected, F.lit(MALFORMED))
-                .otherwise(F.coalesce(_path(document, GETTERS[name]), F.lit(MISSING)))
-                .alias(name)
+                F.coalesce(mark, _path(document, GETTERS[name]), F.lit(MISSING)).alias(name)
                 for name in names
             ]
         )
 
-    return F.get(F.transform(F.array(_document(payload)), getters), F.lit(0))
+    once = F.transform(F.array(_document(payload)), judged)
+    return F.get(F.transform(once, getters), F.lit(0))
 
 
 def _path(document: Column, path: str) -> Column:

@@ -56,11 +56,13 @@ def table_bounds(spark: SparkSession, settings: LoadSettings) -> list[str]:
 
 def publish(rows: DataFrame, settings: LoadSettings) -> None:
     """Write whole buckets. Spark stages the files and publishes them on commit, and
-    only the partitions that occur in ``rows`` are replaced."""
+    only the partitions that occur in ``rows`` are replaced. Load times are written in
+    the form that has statistics, so that reads skip what has expired."""
     spark = rows.sparkSession
     ordered = by_region(rows.select(*COLUMN_ORDER), "bucket_ts")
     dynamic = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with dynamic, many_folders(spark):
+    micros = session_setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    with dynamic, micros, many_folders(spark):
         ordered.write.mode("overwrite").insertInto(settings.table)
 
 

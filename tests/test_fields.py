@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,25 @@ def test_cells_are_bytes(spark):
     assert [bytes(v) for v in row] == ["é-1".encode(), b"data", b"payload", b"p"]
 
 
+def test_one_cell_per_value(spark):
+    schema = "userid_ts string, payload string, location_history string"
+    keyed = spark.createDataFrame([("1-1", "p", None), ("2-1", "", "home")], schema)
+    rows = parse.cells(keyed, ("payload", "location_history")).collect()
+    assert {(bytes(r["row"]), bytes(r["qualifier"]), bytes(r["value"])) for r in rows} == {
+        (b"1-1", b"payload", b"p"),
+        (b"2-1", b"payload", b""),
+        (b"2-1", b"location_history", b"home"),
+    }
+
+
+def test_random_lines(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("\t\t\tab é") for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = {r["i"]: r["fields"] for r in parse.with_fields(frame).collect()}
+    assert got == {i: t.rstrip("\t").split("\t") for i, t in enumerate(texts)}
+
+
 def test_line_is_split_once(lines):
     plan = parse.parse_datatype1(lines)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1

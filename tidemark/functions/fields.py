@@ -50,11 +50,11 @@ def key_fits(key: Column) -> Column:
     return F.octet_length(key) <= MAX_KEY_BYTES
 
 
-def cell(key: Column, value: Column) -> Column:
+def cell(key: Column, qualifier: str, value: Column) -> Column:
     """The stored form of one value: row, family, qualifier and value as bytes."""
     return F.struct(
         F.encode(key, "UTF-8").alias("row"),
         F.encode(F.lit(CELL_FAMILY), "UTF-8").alias("family"),
-        F.encode(F.lit(CELL_QUALIFIER), "UTF-8").alias("qualifier"),
+        F.encode(F.lit(qualifier), "UTF-8").alias("qualifier"),
         F.encode(value, "UTF-8").alias("value"),
     )

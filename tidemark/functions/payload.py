@@ -23,14 +23,19 @@ WHITESPACE = " \t\r\n"
 # --------------------------------------------------------------------------------
 
 
+def _text(payload: Column) -> Column:
+    return F.btrim(payload, F.lit(WHITESPACE))
+
+
 def _document(payload: Column) -> Column:
+    """The typed parse, for texts that can be an object (a failed parse is expensive)."""
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_malformed",
         "allowSingleQuotes": "false",
         "allowNonNumericNumbers": "false",
     }
-    return F.from_json(payload, PAYLOAD_SCHEMA, options)
+    return F.when(_text(payload).startswith("{"), F.from_json(payload, PAYLOAD_SCHEMA, options))
 
 
 def _mark(payload: Column, document: Column) -> Column:
@@ -39,12 +44,11 @@ def _mark(payload: Column, document: Column) -> Column:
     The typed parse also rejects a valid object whose members have other types
     (``{"header": 5}``), so what it rejects, and only that, is parsed again.
     """
-    text = F.btrim(payload, F.lit(WHITESPACE))
+    blank = payload.isNull() | _text(payload).isin("", "null")
     return (
-        F.when(payload.isNull() | (text == "") | (text == "null"), F.lit(MISSING))
-        .when(document["_malformed"].isNull(), F.lit(None).cast("string"))
-        .when(~text.startswith("{"), F.lit(MALFORMED))
-        .when(F.try_parse_json(payload).isNull(), F.lit(MALFORMED))
+        F.when(document.isNotNull() & document["_malformed"].isNull(), F.lit(None).cast("string"))
+        .when(blank, F.lit(MISSING))
+        .when(document.isNull() | F.try_parse_json(payload).isNull(), F.lit(MALFORMED))
     )
 
 

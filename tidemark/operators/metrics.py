@@ -58,13 +58,11 @@ def trailing_load_mean(load_log: DataFrame, window: int = TRAILING_LOADS) -> Dat
 
 
 def buckets_ahead(buckets: DataFrame) -> DataFrame:
-    """For each listed bucket, how many listed buckets have a greater epoch."""
-    placed = with_position(buckets.select("bucket_ts"), ["bucket_ts"])
-    total = buckets.agg(F.count("*").alias("_total"))
-    last = placed.groupBy("bucket_ts").agg(F.max("position").alias("_last"))
-    return last.join(F.broadcast(total)).select(
-        "bucket_ts", (F.col("_total") - F.col("_last")).alias("ahead")
-    )
+    """For each listed bucket, how many listed buckets have a greater epoch: its place
+    from the newest end, less one. Equal epochs share the first place."""
+    newest_first = buckets.select("bucket_ts", (-F.col("bucket_ts")).alias("_age"))
+    placed = with_position(newest_first, ["_age"])
+    return placed.groupBy("bucket_ts").agg((F.min("position") - 1).alias("ahead"))
 
 
 def bucket_lag(started: Column, bucket_ts: Column) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fields as X
@@ -54,9 +54,11 @@ def parse_datatype2(lines: DataFrame, line: str = "value", carry: tuple[str, ...
     return keep_datatype2(with_fields(lines.select(*carry, line), line)).select(*carry, "fields")
 
 
-def cells(keyed: DataFrame) -> DataFrame:
-    """Cell form of keyed payloads: four binary columns."""
-    return keyed.select(X.cell(F.col("userid_ts"), F.col("payload")).alias("cell")).select("cell.*")
+def cells(keyed: DataFrame, qualifiers: tuple[str, ...] = (X.CELL_QUALIFIER,)) -> DataFrame:
+    """Cell form of keyed rows: four binary columns, one row per value that is not null."""
+    made = [X.cell(F.col("userid_ts"), name, F.col(name)) for name in qualifiers]
+    long = keyed.select(F.explode(F.array(*made)) if len(made) > 1 else made[0])
+    return long.toDF("cell").select("cell.*").where(F.col("value").isNotNull())
 
 
 def keep_present(records: DataFrame, value: str) -> DataFrame:
@@ -66,8 +68,3 @@ def keep_present(records: DataFrame, value: str) -> DataFrame:
 
 def keep_valid_json(records: DataFrame, payload: str = "payload") -> DataFrame:
     return records.where(J.is_valid_json(F.col(payload)))
-
-
-def dropped(fields: Column, arities: tuple[int, ...]) -> Column:
-    """Whether the arity filter drops this record, for counting."""
-    return ~X.has_arity(fields, arities)

@@ -450,7 +450,7 @@ def late_bucket(spark, sf_dir):
     manifest.announce(folders.where(newer), listing)
     start_load_stream(job, listing, checkpoint).awaitTermination()
     manifest.announce(folders.where(~newer), listing)
-    other = folders.where(~newer).agg(F.min("path").alias("path"))
-    manifest.announce(folders.where(newer).select("bucket_ts").join(F.broadcast(other)), listing)
+    other = folders.where(~newer).agg(F.min("path")).first()[0]
+    manifest.announce(folders.where(newer).withColumn("path", F.lit(other)), listing)
     start_load_stream(LoadJob(spark, settings), listing, checkpoint).awaitTermination()
     return _stored(spark, settings)

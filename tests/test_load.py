@@ -186,6 +186,38 @@ def test_stream_equals_batch_and_loads_late_buckets_once(spark, inbox, make_sett
     assert ledger.read_ledger(spark, stream.ledger_path).count() == 5
 
 
+def test_entry_with_another_buckets_folder_is_refused(spark, inbox, make_settings):
+    settings = make_settings()
+    _, path = inbox.add(EPOCHS[0])
+    with pytest.raises(ValueError, match="another bucket"):
+        LoadJob(spark, settings).load(inbox.ready([(EPOCHS[1], path)]))
+    assert ledger.read_ledger(spark, settings.ledger_path).count() == 0
+
+
+def test_stream_keeps_going_and_survives_a_failure(spark, inbox, make_settings, tmp_path, monkeypatch):
+    settings = make_settings()
+    listing, checkpoint = str(tmp_path / "ready"), str(tmp_path / "offsets")
+    manifest.announce(inbox.ready([inbox.add(EPOCHS[0])]), listing)
+
+    def fail(*_args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "mark_processed", fail)
+        with pytest.raises(Exception, match="lost"):
+            start_load_stream(LoadJob(spark, settings), listing, checkpoint).awaitTermination()
+    query = start_load_stream(LoadJob(spark, settings), listing, checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert stored(spark, settings) == expected(EPOCHS[0])
+        manifest.announce(inbox.ready([inbox.add(EPOCHS[1])]), listing)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert stored(spark, settings) == expected(*EPOCHS[:2])
+    assert ledger.read_ledger(spark, settings.ledger_path).count() == 2
+
+
 def test_arrival_order_does_not_matter(spark, inbox, make_settings):
     entries = [inbox.add(e) for e in EPOCHS[:3]]
     forward, backward = make_settings(buckets_per_load=3), make_settings(buckets_per_load=1)

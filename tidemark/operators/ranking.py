@@ -26,8 +26,7 @@ def with_position(
     """
     within = within or []
     shared_folder(rows.sparkSession)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = by_key_range(rows, *within, *order, parts=parts, copies=copies)
+    ordered = by_key_range(rows, *within, *order, copies=copies)
     placed = ordered.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftrightunsigned("_at", _PARTITION_BITS).alias("_part")
     counts = placed.groupBy(part, *within).agg(

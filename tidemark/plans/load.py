@@ -10,11 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.buckets import parse_bucket_path
 from tidemark.functions.fields import DATATYPE1_ARITIES, DATATYPE2_ARITIES
 from tidemark.functions.regions import region_of
 from tidemark.operators import enrich, ledger, metrics, parse, quality, table
 from tidemark.settings import LoadSettings
 from tidemark.sources.buckets import read_buckets
+from tidemark.sources.manifest import READY_SCHEMA
 
 log = logging.getLogger(__name__)
 
@@ -82,6 +84,9 @@ class LoadJob:
         batch = ledger.next_batch(waiting, settings.buckets_per_load).collect()
         if not batch:
             return None
+        for row in batch:
+            if parse_bucket_path(row["path"])[2] != row["bucket_ts"]:
+                raise ValueError(f"entry {row['bucket_ts']} names another bucket: {row['path']}")
         recent = metrics.recent_loads(ledger.load_log(processed)).collect()
         backlog = self._backlog(ready if listing is None else listing, processed, batch[-1])
         self._before(batch[-1], started, recent, backlog["ahead"])
@@ -100,7 +105,7 @@ class LoadJob:
 
     def _mark(self, batch: list, result: LoadResult) -> None:
         done = self.spark.createDataFrame(
-            [(row["bucket_ts"], row["path"]) for row in batch], "bucket_ts bigint, path string"
+            [(row["bucket_ts"], row["path"]) for row in batch], READY_SCHEMA
         ).withColumns(
             {
                 "batch_id": F.lit(result.batch_id).cast("bigint"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.shared import many_folders
 
 MANIFEST_SCHEMA = "value string, bucket_ts bigint"
+READY_SCHEMA = "bucket_ts bigint, path string"
 
 
 def announce(buckets: DataFrame, manifest: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.load import LoadJob
-from tidemark.sources.manifest import read_ready, stream_ready
+from tidemark.sources.manifest import READY_SCHEMA, read_ready, stream_ready
 
 
 def start_load_stream(
@@ -21,7 +21,9 @@ def start_load_stream(
     """
 
     def load(entries: DataFrame, _epoch: int) -> None:
-        while job.load(entries, read_ready(job.spark, manifest)) is not None:
+        # a micro-batch has as many entries as a load takes buckets
+        ready = job.spark.createDataFrame(entries.collect(), READY_SCHEMA)
+        while job.load(ready, read_ready(job.spark, manifest)) is not None:
             pass
 
     writer = (

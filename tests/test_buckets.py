@@ -1,3 +1,5 @@
+from unittest import mock
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,17 @@ def test_manifest_round_trip(spark, tmp_path):
     assert len(list((tmp_path / "ready").glob("*/*.txt"))) == 2
 
 
+def test_location_is_read_over_jdbc():
+    """No database here: this shows what the reader is asked for, not that it answers."""
+    session = mock.Mock()
+    dimension.read_location(session, "postgresql", "jdbc:postgresql://db/network", "places", "u", "p")
+    session.read.jdbc.assert_called_once_with(
+        "jdbc:postgresql://db/network",
+        "places",
+        properties={"user": "u", "password": "p", "driver": "org.postgresql.Driver"},
+    )
+
+
 def test_unknown_database_kind(spark):
     with pytest.raises(ValueError):
         dimension.read_location(spark, "sqlite", "jdbc:sqlite:x", "t", "u", "p")

@@ -33,8 +33,8 @@ def next_batch(buckets: DataFrame, size: int) -> DataFrame:
 def batches(buckets: DataFrame, size: int) -> DataFrame:
     """All buckets in path order with the number of the batch that takes them."""
     placed = with_position(buckets, ["path"])
-    batch = F.floor((F.col("position") - 1) / size).alias("batch_id")
-    return placed.select(*buckets.columns, batch)
+    batch = F.call_function("div", F.col("position") - 1, F.lit(size))
+    return placed.select(*buckets.columns, batch.alias("batch_id"))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

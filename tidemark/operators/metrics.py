@@ -30,9 +30,7 @@ METRICS_SCHEMA = "name string, value string, updated_at timestamp"
 
 def load_time(started: Column, finished: Column, n_buckets: Column) -> Column:
     """Whole seconds per bucket; a batch without buckets counts as one."""
-    seconds = finished - started
-    buckets = F.greatest(n_buckets, F.lit(1)).cast("bigint")
-    return ((seconds - seconds % buckets) / buckets).cast("bigint")
+    return F.call_function("div", finished - started, F.greatest(n_buckets, F.lit(1)))
 
 
 def load_times(load_log: DataFrame) -> DataFrame:
@@ -53,8 +51,8 @@ def trailing_load_mean(load_log: DataFrame, window: int = TRAILING_LOADS) -> Dat
         .groupBy("position")
         .agg(F.sum("load_time").alias("_sum"), F.count("*").alias("_loads"))
     )
-    mean = F.floor(F.col("_sum") / F.col("_loads")).alias("mean_load_time")
-    return timed.join(sums, "position", "left").select("iteration", mean)
+    mean = F.call_function("div", F.col("_sum"), F.col("_loads"))
+    return timed.join(sums, "position", "left").select("iteration", mean.alias("mean_load_time"))
 
 
 def buckets_ahead(buckets: DataFrame) -> DataFrame:

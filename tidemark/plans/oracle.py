@@ -102,11 +102,11 @@ _SERVED = f"WITH {_TABLE} SELECT userid_ts, payload, location_history FROM servi
 
 ORACLE_SQL: dict[str, str] = {
     "split_fields": f"""WITH {_LINES}
-        SELECT event_id, len(f) AS n_fields, array_to_string(f, '|') AS fields FROM rec""",
+        SELECT event_id, len(f)::int AS n_fields, array_to_string(f, '|') AS fields FROM rec""",
     "filter_arity_4_5": f"""WITH {_LINES}
-        SELECT event_id, len(f) AS n_fields FROM rec WHERE len(f) IN (4, 5)""",
+        SELECT event_id, len(f)::int AS n_fields FROM rec WHERE len(f) IN (4, 5)""",
     "filter_arity_2_4": f"""WITH {_LINES}
-        SELECT event_id, len(f) AS n_fields FROM rec WHERE len(f) IN (2, 4)""",
+        SELECT event_id, len(f)::int AS n_fields FROM rec WHERE len(f) IN (2, 4)""",
     "rowkey_build": f"WITH {_LINES} SELECT event_id, userid_ts, payload FROM kept",
     "cell_encode": f"""WITH {_LINES}
         SELECT hex(encode(userid_ts)) AS row_hex, hex(encode('data')) AS family_hex,

@@ -124,11 +124,11 @@ def test_bucket_without_rows_is_marked(spark, inbox, make_settings, lines):
     assert ledger.read_ledger(spark, settings.ledger_path).count() == 1
 
 
-def test_key_that_is_too_long_is_no_loss_of_count(spark, inbox, make_settings):
+def test_keys_that_are_too_long_are_counted(spark, inbox, make_settings):
     settings = make_settings()
     lines = [f"{EPOCHS[0]}\t{'9' * 40_000}\tx\tp", f"{EPOCHS[0]}\t1\tx\tp", "bad"]
     result = LoadJob(spark, settings).load(inbox.ready([inbox.add(EPOCHS[0], lines)]))
-    assert (result.seen, result.dropped) == (3, 1)
+    assert (result.seen, result.dropped, result.too_long) == (3, 1, 1)
     assert stored(spark, settings) == [(EPOCHS[0], 1, f"1-{EPOCHS[0]}", "p")]
 
 
@@ -180,7 +180,9 @@ def test_stream_equals_batch_and_loads_late_buckets_once(spark, inbox, make_sett
     manifest.announce(inbox.ready(entries[:2] + [(EPOCHS[4], entries[0][1])]), listing)
     start_load_stream(LoadJob(spark, stream), listing, checkpoint).awaitTermination()
     loads = ledger.load_log(ledger.read_ledger(spark, stream.ledger_path)).collect()
-    assert sorted(r["n_buckets"] for r in loads) == [1, 2, 2]
+    # an entry sent again takes a place in its micro-batch, so a load may be smaller
+    sizes = [r["n_buckets"] for r in loads]
+    assert sum(sizes) == 5 and max(sizes) <= 2
     assert stored(spark, stream) == stored(spark, batch) == expected(*EPOCHS)
     start_load_stream(LoadJob(spark, stream), listing, checkpoint).awaitTermination()
     assert ledger.read_ledger(spark, stream.ledger_path).count() == 5

@@ -63,9 +63,9 @@ def test_batch_summary(spark):
 def test_counters_by_the_way_and_exact(spark):
     lines = spark.createDataFrame([("a\tb\tc\td",), ("a",), ("a\tb\tc\td\te",), ("",)], "value string")
     records = parse.with_fields(lines)
-    observed, observation = quality.observe_arity(records, DATATYPE1_ARITIES)
+    observed, observation = quality.observed(records, quality.datatype1_counts())
     assert parse.keep_datatype1(observed).count() == 2
-    assert observation.get == {"n_split": 4, "split_drop": 2}
+    assert observation.get == {"n_split": 4, "split_drop": 2, "key_drop": 0}
     exact = quality.quality_counters(records, quality.arity_counts(DATATYPE1_ARITIES)).first()
     assert tuple(exact) == (4, 2)
 

@@ -45,6 +45,11 @@ def has_arity(fields: Column, arities: tuple[int, ...]) -> Column:
     return F.size(fields).isin(*arities)
 
 
+def key_bytes(user_id: Column, ts: Column) -> Column:
+    """Size of ``row_key`` without building it."""
+    return F.octet_length(user_id) + F.octet_length(F.lit(USER_KEY_SEPARATOR)) + F.octet_length(ts)
+
+
 def key_fits(key: Column) -> Column:
     """Whether a row key is short enough to be stored."""
     return F.octet_length(key) <= MAX_KEY_BYTES

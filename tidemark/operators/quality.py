@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.functions import fields as X
 from tidemark.functions import payload as J
-from tidemark.functions.fields import has_arity
 
 
 def arity_counts(arities: tuple[int, ...], fields: str = "fields") -> list[Column]:
     return [
         F.count("*").alias("n_split"),
-        F.count_if(~has_arity(F.col(fields), arities)).alias("split_drop"),
+        F.count_if(~X.has_arity(F.col(fields), arities)).alias("split_drop"),
     ]
 
 
+def datatype1_counts(fields: str = "fields") -> list[Column]:
+    """Arity counters, and the records of right arity whose key is too long to store."""
+    f = F.col(fields)
+    too_long = X.key_bytes(X.field(f, 1), X.field(f, 0)) > X.MAX_KEY_BYTES
+    rejected = F.count_if(X.has_arity(f, X.DATATYPE1_ARITIES) & too_long)
+    return [*arity_counts(X.DATATYPE1_ARITIES, fields), rejected.alias("key_drop")]
+
+
 def presence_counts(value: str, prefix: str) -> list[Column]:
     return [
         F.count(value).alias(f"n_{prefix}"),
@@ -23,7 +31,7 @@ def presence_counts(value: str, prefix: str) -> list[Column]:
     ]
 
 
-def observe_arity(records: DataFrame, arities: tuple[int, ...]) -> tuple[DataFrame, Observation]:
+def observed(records: DataFrame, counts: list[Column]) -> tuple[DataFrame, Observation]:
     """Count while the records pass by, without a pass of their own.
 
     An executor lost after its map tasks finished makes Spark run them again, and
@@ -31,7 +39,7 @@ def observe_arity(records: DataFrame, arities: tuple[int, ...]) -> tuple[DataFra
     ``quality_counters``.
     """
     observation = Observation()
-    return records.observe(observation, *arity_counts(arities)), observation
+    return records.observe(observation, *counts), observation
 
 
 def quality_counters(records: DataFrame, counts: list[Column], *groups: str) -> DataFrame:

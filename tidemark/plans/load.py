@@ -7,11 +7,11 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import parse_bucket_path
-from tidemark.functions.fields import DATATYPE1_ARITIES, DATATYPE2_ARITIES
+from tidemark.functions.fields import DATATYPE2_ARITIES
 from tidemark.functions.regions import region_of
 from tidemark.operators import enrich, ledger, metrics, parse, quality, table
 from tidemark.settings import LoadSettings
@@ -27,6 +27,7 @@ class LoadResult:
     buckets: int
     seen: int
     dropped: int
+    too_long: int
     started: int
     finished: int
 
@@ -93,12 +94,20 @@ class LoadJob:
         paths = [row["path"] for row in batch]
         names = [row["bucket_ts"] for row in batch]
         if settings.mode == "datatype1":
-            seen, dropped = self._write(paths, names, started)
+            counts = self._write(paths, names, started)
         else:
-            seen, dropped = self._count(paths, DATATYPE2_ARITIES)
+            counts = self._count(paths, quality.arity_counts(DATATYPE2_ARITIES))
         finished = int(self._clock())
         batch_id = max((row["iteration"] for row in recent), default=0) + 1
-        result = LoadResult(batch_id, len(batch), seen, dropped, started, finished)
+        result = LoadResult(
+            batch_id,
+            len(batch),
+            counts["n_split"],
+            counts["split_drop"],
+            counts.get("key_drop", 0),
+            started,
+            finished,
+        )
         self._mark(batch, result)
         self._after(result, paths, names, backlog["ready"], backlog["processed"] + len(batch))
         return result
@@ -117,10 +126,10 @@ class LoadJob:
 
     # --- data ----------------------------------------------------------------------
 
-    def _write(self, paths: list[str], names: list[int], started: int) -> tuple[int, int]:
+    def _write(self, paths: list[str], names: list[int], started: int) -> dict[str, int]:
         spark, settings = self.spark, self.settings
         records = parse.with_fields(read_buckets(spark, paths))
-        records, observed = quality.observe_arity(records, DATATYPE1_ARITIES)
+        records, observed = quality.observed(records, quality.datatype1_counts())
         kept = parse.keep_datatype1(records)
         keyed = parse.keep_storable_keys(parse.keyed_payloads(kept, carry=("bucket_ts",)))
         if self.location is not None:
@@ -135,15 +144,14 @@ class LoadJob:
         stored = spark.table(settings.table).where(F.col("bucket_ts").isin(names)).count()
         if stored:
             counts = observed.get
-            if stored == counts["n_split"] - counts["split_drop"]:
-                return counts["n_split"], counts["split_drop"]
-        # no row to observe, over-long keys, or tasks counted twice after a lost executor
-        return self._count(paths, DATATYPE1_ARITIES)
+            if stored == counts["n_split"] - counts["split_drop"] - counts["key_drop"]:
+                return counts
+        # nothing to observe, or tasks counted twice after an executor was lost
+        return self._count(paths, quality.datatype1_counts())
 
-    def _count(self, paths: list[str], arities: tuple[int, ...]) -> tuple[int, int]:
+    def _count(self, paths: list[str], counts: list[Column]) -> dict[str, int]:
         records = parse.with_fields(read_buckets(self.spark, paths))
-        row = quality.quality_counters(records, quality.arity_counts(arities)).first()
-        return row["n_split"], row["split_drop"]
+        return quality.quality_counters(records, counts).first().asDict()
 
     def _refresh_location(self, now: int) -> None:
         if self.location is not None and self.location.refresh(now):

@@ -26,7 +26,8 @@ def read_ready(spark: SparkSession, manifest: str) -> DataFrame:
 
 def stream_ready(spark: SparkSession, manifest: str, buckets_per_load: int) -> DataFrame:
     """New ready entries as they appear; one file is one bucket, so the file limit
-    bounds the buckets of a micro-batch. Old entries are never skipped."""
+    bounds the buckets of a micro-batch (an entry sent again counts too). Old entries are
+    never skipped."""
     entries = (
         spark.readStream.schema(MANIFEST_SCHEMA)
         .option("maxFilesPerTrigger", buckets_per_load)

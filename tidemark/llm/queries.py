@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.decontaminate import benchmark_hits
 from tidemark.llm.language_id import identify_language, train_language_model
+from tidemark.llm.language_model import score_texts
+from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.pii import BASE_KINDS, find_personal_data
+from tidemark.llm.quality import MEASURES, quality_cascade
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.warc import archive_round_trip
 
 MOST_TOKENS = 4096
 
@@ -31,17 +35,34 @@ def language_model(docs: DataFrame):
     return train_language_model(docs.where(~in_fold(3, 1)))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = quality_cascade(table(spark, sf_dir, "documents"), measures=MEASURES)
+    base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return checked.select("doc_id", *MEASURES, base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify_language(docs, language_model(docs))
     return found.select("doc_id", in_fold(3, 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MOST_TOKENS).alias("over_limit"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_texts(docs, docs.where(~in_fold(7, 2)))
+    return scored.select("doc_id", in_fold(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort(F.transform("hit_items", lambda x: x.cast("string"))), ",")
@@ -53,6 +74,11 @@ def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -76,9 +102,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_warc": op3_warc,
     "op4_token_counts": op4_token_counts,
+    "op5_language_model": op5_language_model,
     "op6_decontamination": op6_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,

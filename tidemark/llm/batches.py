@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
 #: Text bytes that a task holds as Python objects at one time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 _ARROW = {
     "long": pa.int64(),

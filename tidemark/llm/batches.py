@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
 #: Text bytes that a task holds as Python objects at one time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 _ARROW = {
     "long": pa.int64(),
@@ -57,6 +57,7 @@ def add_columns(
     read: list[str],
     work: Callable[[], Callable[[Columns], Columns]],
     added: dict[str, str],
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``keep`` as it is and the ``added`` columns, one output row for each input row.
 
@@ -69,7 +70,7 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = work()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, slice_bytes):
                 out = step({c: part.column(c).to_pylist() for c in read})
                 arrays = [part.column(c) for c in keep] + [to_array(out[c], kind) for c, kind in added.items()]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *added])

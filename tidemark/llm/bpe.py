@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.batches import add_columns
 
-CACHED_WORDS = 200_000  # of a Python worker; only speed depends on it
+CACHED_WORDS = 150_000  # of a Python worker; only speed depends on it
 SHORT = 200  # bytes; scanning a longer word for its minimum again and again would take quadratic time
 NONE = 1 << 60
 

@@ -21,6 +21,8 @@ ORDERS = (2, 3, 4)
 SAMPLE_DOCUMENTS = 4000
 PASSAGES = 3
 PASSAGE_WORDS = 48
+#: Text that is turned into arrays at once: they take some 60 times as much memory.
+SLICE_BYTES = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint64)
 
@@ -211,4 +213,4 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, id_column: str =
 
         return step
 
-    return add_columns(docs, keep or [id_column], [text_column], work, {"lang_pred": "string", "score": "double", "rejected": "boolean"})
+    return add_columns(docs, keep or [id_column], [text_column], work, {"lang_pred": "string", "score": "double", "rejected": "boolean"}, SLICE_BYTES)

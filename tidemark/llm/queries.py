@@ -114,4 +114,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages
+        ), marked AS (
+            SELECT *, strlen(payload) >= 100 AND page_id <> first_id AS again FROM payloads
+        )
+        SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to
+        FROM marked
+    """,
+}

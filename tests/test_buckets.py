@@ -33,6 +33,21 @@ def test_scan_over_several_roots(spark, folder):
     assert sorted(tuple(r) for r in buckets.read_buckets(spark, paths).collect()) == [("a", 1800), ("b", 3600)]
 
 
+@pytest.mark.parametrize("roots", [("one", "one"), ("one", "two")])
+@pytest.mark.parametrize("file", ["part=0.txt", "sub/x.txt", "sub/part=0.txt"])
+def test_names_within_a_bucket_do_not_matter(spark, tmp_path, roots, file):
+    paths = []
+    for root, epoch, line in zip(roots, (1800, 3600), "ab", strict=True):
+        path = tmp_path / root / f"ts={epoch}" / file
+        path.parent.mkdir(parents=True)
+        path.write_text(f"{line}\n")
+        paths.append(str(tmp_path / root / f"ts={epoch}"))
+    got = sorted(tuple(r) for r in buckets.read_buckets(spark, paths).collect())
+    assert got == [("a", 1800), ("b", 3600)]
+    found = sorted(tuple(r) for r in buckets.discover_buckets(spark, paths).collect())
+    assert found == [("a", 1800), ("b", 3600)]
+
+
 def test_empty_list(spark):
     assert buckets.read_buckets(spark, []).count() == 0
 

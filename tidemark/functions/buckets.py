@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # --- fixed values: cadence and path format --------------------------------------
 BUCKET_SECONDS = 1_800
 BUCKET_PATH = re.compile(r"^(?P<root>.+)/(?P<name>[^/=]+)=(?P<epoch>[0-9]+)/?$")
-FILE_IN_BUCKET = "=([0-9]+)/[^/=]*$"
+FILE_IN_BUCKET = "^.*/[^/=]+=([0-9]+)/"
 # --------------------------------------------------------------------------------
 
 
@@ -25,7 +25,7 @@ def bucket_of_path(path: Column) -> Column:
 
 
 def bucket_of_file(file_path: Column) -> Column:
-    """Epoch of the bucket folder a data file lies in."""
+    """Epoch of the innermost bucket folder a data file lies in."""
     return F.regexp_extract(file_path, FILE_IN_BUCKET, 1).try_cast("bigint")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +15,22 @@ from tidemark.shared import many_folders
 def read_buckets(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Lines of all folders as (``value``, ``bucket_ts``): one scan, copies kept.
 
-    ``paths`` is a list or a comma-separated text. Folders under one root get their
-    epoch from partition discovery, which costs nothing per line; otherwise it is cut
-    out of each line's file path.
+    ``paths`` is a list or a comma-separated text. The epoch comes from partition
+    discovery, one scan per root, so that neither the number of roots nor what lies
+    in a bucket folder (files with ``=`` in their names, subfolders) matters.
     """
     paths = [p for p in paths.split(",") if p] if isinstance(paths, str) else list(paths)
     if not paths:
         return spark.createDataFrame([], "value string, bucket_ts bigint")
-    parsed = [parse_bucket_path(path) for path in paths]
-    places = {(root, name) for root, name, _ in parsed}
-    if len(places) == 1:
-        root, name = places.pop()
+    places: dict[tuple[str, str], list[str]] = {}
+    for path in paths:
+        root, name, _ = parse_bucket_path(path)
+        places.setdefault((root, name), []).append(path)
+    scans = []
+    for (root, name), folders in places.items():
         reader = spark.read.schema(f"value string, `{name}` bigint").option("basePath", root)
-        return reader.text(paths).select("value", F.col(name).alias("bucket_ts"))
-    return discover_buckets(spark, paths)
+        scans.append(reader.text(folders).select("value", F.col(name).alias("bucket_ts")))
+    return reduce(DataFrame.unionAll, scans)
 
 
 def discover_buckets(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -173,7 +173,8 @@ def user_time_range(
     prefix = _prefix(user_id)
     rows = _in_regions(visible_versions(spark, settings, as_of), settings, prefix)
     key = F.col("userid_ts")
-    return _served(rows.where((key >= f"{prefix}{start}") & (key < f"{prefix}{end}")))
+    same_digits = F.length(key) == len(prefix) + len(str(start))
+    return _served(rows.where((key >= f"{prefix}{start}") & (key < f"{prefix}{end}") & same_digits))
 
 
 def _prefix(user_id: object) -> str:

@@ -26,6 +26,15 @@ ICIDS = [
     ('{"header":{"icid":"a"},"dimensions":7}', "a"),
     ('\t{"header":{"icid":true}}\n', "true"),
     ('{"header":{"icid":9007199254740993123}}', "9007199254740993123"),
+    ('{"header":{"icid":"c1"}} junk', "_"),
+    ('{"header":{"icid":"c1"}}}', "_"),
+    ('{"header":{"icid":"c1"}}] junk', "_"),
+    ('{"header":{"icid":"c1"}}, {}', "_"),
+    ('{"header":{"icid":"c1"}} {"header":{"icid":"c2"}}', "_"),
+    ('{"header":5,\'x\':1}', "_"),
+    ('{"x":1,"x":2,"header":{"icid":"c1"}}', "c1"),
+    ('{"header":{"icid":"c1"},"header":{"icid":"c2"}}', "c2"),
+    ('{"document":1,"_malformed":"x","header":{"icid":"c1"}}', "c1"),
 ]
 
 
@@ -54,7 +63,9 @@ def test_presence_lets_the_malformed_mark_pass(spark):
     assert {r[0] for r in parse.keep_present(frame, "mo_imsi").collect()} == {"1", "_"}
 
 
-@pytest.mark.parametrize("text,valid", [("{}", True), ("[1]", True), ("{bad", False), ("", False), (None, False)])
+@pytest.mark.parametrize("text,valid", [("{}", True), ("[1]", True), ("{bad", False), ("", False), (None, False),
+    ("7", True), ('"x"', True), ("null", True), ("{} junk", False), ("{}}", False), ("[]]", False), ("1,2", False), ("{'a':1}", False),
+    ('{"a":1,"a":2}', True), ('{"a":1}, "b":{"c":2}', False)])
 def test_json_filter(spark, text, valid):
     frame = spark.createDataFrame([(text,)], "payload string")
     assert parse.keep_valid_json(frame).count() == int(valid)
@@ -64,4 +75,10 @@ def test_one_parse_for_four_getters(spark):
     frame = spark.createDataFrame([("{}",)], "p string").select(J.payload_fields(F.col("p")).alias("g"))
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json(StructField") == 1
+    assert plan.count("from_json(StructField(document") == 1
+
+
+def test_long_texts_stay_valid(spark):
+    frame = spark.range(1).select(F.concat(F.lit('{"z":"'), F.repeat(F.lit("x"), 25_000_000), F.lit('","header":{"icid":"k"}}')).alias("payload"))
+    assert frame.select(J.icid(F.col("payload"))).first()[0] == "k"
+    assert parse.keep_valid_json(frame).count() == 1

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # --- fixed values: the payload document and its result marks -------------------
 PAYLOAD_SCHEMA = (
-    "header struct<icid: string, start: string>, "
-    "dimensions struct<mo: struct<imsi: string>, mt: struct<imsi: string>>, "
+    "document struct<"
+    "header: struct<icid: string, start: string>, "
+    "dimensions: struct<mo: struct<imsi: string>, mt: struct<imsi: string>>>, "
     "_malformed string"
 )
 GETTERS = {
@@ -20,6 +21,12 @@ GETTERS = {
 MISSING = ""
 MALFORMED = "_"
 WHITESPACE = " \t\r\n"
+OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_malformed",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 # --------------------------------------------------------------------------------
 
 
@@ -27,15 +34,26 @@ def _text(payload: Column) -> Column:
     return F.btrim(payload, F.lit(WHITESPACE))
 
 
+def _member(payload: Column) -> Column:
+    """The text as the only member of an object."""
+    return F.concat(F.lit('{"document":'), payload, F.lit("}"))
+
+
+def _one_element(payload: Column) -> Column:
+    """Whether the text is one element of an array.
+
+    Spark's parsers stop at the end of the first value. What follows a payload shows
+    when it is put into brackets: text or a second value there is no longer one
+    element. A payload that closes the bracket itself breaks ``_member`` instead.
+    """
+    count = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]")))
+    return F.coalesce(count == 1, F.lit(False))
+
+
 def _document(payload: Column) -> Column:
     """The typed parse, for texts that can be an object (a failed parse is expensive)."""
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": "_malformed",
-        "allowSingleQuotes": "false",
-        "allowNonNumericNumbers": "false",
-    }
-    return F.when(_text(payload).startswith("{"), F.from_json(payload, PAYLOAD_SCHEMA, options))
+    parsed = F.from_json(_member(payload), PAYLOAD_SCHEMA, OPTIONS)
+    return F.when(_text(payload).startswith("{") & _one_element(payload), parsed)
 
 
 def _mark(payload: Column, document: Column) -> Column:
@@ -48,13 +66,22 @@ def _mark(payload: Column, document: Column) -> Column:
     return (
         F.when(document.isNotNull() & document["_malformed"].isNull(), F.lit(None).cast("string"))
         .when(blank, F.lit(MISSING))
-        .when(document.isNull() | F.try_parse_json(payload).isNull(), F.lit(MALFORMED))
+        .when(document.isNull() | ~_closed(payload), F.lit(MALFORMED))
     )
 
 
+def _closed(payload: Column) -> Column:
+    """Whether the text is a whole member of an object; its content is skipped, not kept."""
+    return F.from_json(_member(payload), "_malformed string", OPTIONS)["_malformed"].isNull()
+
+
 def is_valid_json(payload: Column) -> Column:
-    """Whether the text parses as JSON of any kind; false for empty and null."""
-    return F.try_parse_json(payload).isNotNull()
+    """Whether the text is one JSON value of any kind; false for empty and null.
+
+    Repeated keys are valid, and texts of any length; nesting beyond Spark's limit of
+    1,000 levels is not.
+    """
+    return payload.isNotNull() & _one_element(payload) & _closed(payload)
 
 
 def payload_fields(payload: Column, names: tuple[str, ...] = tuple(GETTERS)) -> Column:
@@ -71,7 +98,7 @@ def payload_fields(payload: Column, names: tuple[str, ...] = tuple(GETTERS)) ->
         document, mark = parsed["document"], parsed["mark"]
         return F.struct(
             *[
-                F.coalesce(mark, _path(document, GETTERS[name]), F.lit(MISSING)).alias(name)
+                F.coalesce(mark, _path(document, f"document.{GETTERS[name]}"), F.lit(MISSING)).alias(name)
                 for name in names
             ]
         )

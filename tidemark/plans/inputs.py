@@ -35,7 +35,7 @@ LINE_SQL = r"""
 """
 
 PAYLOAD_SQL = """
-    case event_id % 8
+    case event_id % 12
       when 0 then '{bad'
       when 1 then ''
       when 2 then concat('{"header":{"icid":"c', e, '"}}')
@@ -43,6 +43,10 @@ PAYLOAD_SQL = """
       when 4 then '[1]'
       when 5 then cast(null as string)
       when 6 then '{"header":null}'
+      when 7 then concat('{"header":{"icid":"c', e, '"}} junk')
+      when 8 then concat('{"header":{"icid":"c', e, '"}}}')
+      when 9 then concat('{"header":{"icid":"c', e, '"}} {"header":{"icid":"d"}}')
+      when 10 then concat('{"x":1,"x":[2],"header":{"icid":"c', e, '"}}')
       else concat('{"header":{"icid":"c', e, '","start":', s,
                   '},"dimensions":{"mo":{"imsi":"', u, '"},"mt":{"imsi":""}}}')
     end as payload

@@ -228,3 +228,36 @@ def test_arrival_order_does_not_matter(spark, inbox, make_settings):
     for entry in reversed(entries):
         job.load(inbox.ready([entry]))
     assert stored(spark, forward) == stored(spark, backward)
+
+
+@pytest.mark.parametrize("change", [lambda f: f.where("userid_ts LIKE '21%'"), lambda f: f.unionAll(f)])
+def test_step_that_changes_the_row_count_fails_the_load(spark, inbox, make_settings, change):
+    settings = make_settings(resolve_location=True)
+    places = spark.createDataFrame([("21", "home")], "user string, location string")
+
+    def locate(keyed, location):
+        return change(keyed.withColumn("location_history", F.lit(None).cast("string")))
+
+    job = LoadJob(spark, settings, lambda: places, locate)
+    with pytest.raises(RuntimeError, match="are stored of 3"):
+        job.load(inbox.ready([inbox.add(EPOCHS[0])]))
+    assert ledger.read_ledger(spark, settings.ledger_path).count() == 0
+
+
+def test_job_frees_what_has_expired(spark, inbox, make_settings):
+    settings, now = make_settings(ttl_seconds=7200, buckets_per_load=1), [10**9]
+    job = LoadJob(spark, settings, clock=lambda: now[0])
+    for epoch in EPOCHS[:3]:
+        job.load(inbox.ready([inbox.add(epoch)]))
+        now[0] += 3601
+    # the first load is 7202 seconds old when the third frees what has expired
+    assert stored(spark, settings) == expected(*EPOCHS[1:3])
+    assert [r[0] for r in spark.read.parquet(settings.expired_path).collect()] == [EPOCHS[0]]
+    assert LoadJob(spark, settings, clock=lambda: now[0]).load(inbox.ready([inbox.add(EPOCHS[0])])) is None
+
+
+def test_ledger_keeps_the_counts_of_a_load(spark, inbox, make_settings):
+    settings = make_settings()
+    LoadJob(spark, settings).load(inbox.ready([inbox.add(e) for e in EPOCHS[:2]]))
+    kept = ledger.read_ledger(spark, settings.ledger_path).select(*ledger.LOAD_COUNTS).collect()
+    assert [tuple(r) for r in kept] == [(8, 2, 0)] * 2

@@ -91,6 +91,19 @@ def test_refresh_is_due_strictly_after(spark):
     assert not dimension.refresh(1002 + 86_400) and dimension.last_refresh == 1001 + 86_400
 
 
+def test_dimension_stays_what_it_was_until_due(spark, tmp_path):
+    source = str(tmp_path / "source")
+
+    def write(name):
+        spark.createDataFrame([(name,)], "location string").write.mode("overwrite").parquet(source)
+
+    write("old")
+    dimension = enrich.RefreshedDimension(lambda: spark.read.parquet(source), 24, 1000, str(tmp_path / "kept"))
+    write("new")
+    assert not dimension.refresh(1001) and [r[0] for r in dimension.frame.collect()] == ["old"]
+    assert dimension.refresh(1001 + 86_400) and [r[0] for r in dimension.frame.collect()] == ["new"]
+
+
 @pytest.mark.parametrize("broadcast", [True, False, None])
 def test_location_join(spark, broadcast):
     rows = spark.createDataFrame([(1, 310, 1), (2, 310, 2), (3, None, 1)], "i int, mcc int, mnc int")

@@ -43,7 +43,7 @@ def test_codec_fallback():
 
 
 def test_region_count_fallback():
-    assert [regions_or_default(v) for v in (7, "12", "x", "", None, 0, "-1")] == [7, 12, 100, 100, 100, 100, 100]
+    assert [regions_or_default(v) for v in (7, "12", "x", "", None, 0, "-1")] == [7, 12, 100, 100, 100, 1, 1]
 
 
 def test_settings_from_names():
@@ -212,3 +212,14 @@ def test_view_predicate_reaches_the_scan(spark, filled):
     table.create_view(spark, filled, name)
     plan = spark.sql(f"SELECT * FROM {name} WHERE userid_ts = '21-1704000100'")
     assert "EqualTo(userid_ts,21-1704000100)" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_time_to_live_stays_with_the_table(spark, settings):
+    table.create_table(spark, settings)
+    now = int(datetime.datetime.now().timestamp())
+    table.publish(rows(spark, ("11-1", "a", 1800), loaded=now - DAY), settings)
+    settings.ttl_seconds = 1
+    table.create_table(spark, settings)
+    name = f"{settings.table}_view"
+    table.create_view(spark, settings, name)
+    assert served(spark.table(name)) == served(table.serving(spark, settings)) == {"11-1": "a"}

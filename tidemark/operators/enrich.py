@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.shared import new_folder
+
 BROADCAST_BYTES = 64 << 20
 OPERATOR_KEY = ("mcc", "mnc")
 
@@ -51,21 +54,29 @@ def refresh_due(now: Column | int, last: Column | int, hours: int):
 
 
 class RefreshedDimension:
-    """Re-reads a dimension when it is due; asked once per load."""
+    """Re-reads a dimension when it is due; asked once per load.
+
+    Each reading is written below ``folder``, or the shared folder, and loads use that
+    copy: its size is the one measured, and the source may change meanwhile.
+    """
 
-    def __init__(self, read: Callable[[], DataFrame], hours: int, started: int) -> None:
+    def __init__(self, read: Callable[[], DataFrame], hours: int, started: int, folder: str | None = None) -> None:
         self._read = read
         self._hours = hours
+        self._folder = folder
         self.last_refresh = started
-        self._use(read())
+        self._use(read(), started)
 
-    def _use(self, frame: DataFrame) -> None:
-        self.frame = frame
-        self.broadcast = small_enough(frame)
+    def _use(self, frame: DataFrame, now: int) -> None:
+        spark = frame.sparkSession
+        folder = f"{self._folder}/{now}-{uuid.uuid4().hex}" if self._folder else new_folder(spark, "location")
+        frame.write.parquet(folder)
+        self.frame = spark.read.schema(frame.schema).parquet(folder)
+        self.broadcast = small_enough(self.frame)
 
     def refresh(self, now: int) -> bool:
         if not refresh_due(now, self.last_refresh, self._hours):
             return False
-        self._use(self._read())
+        self._use(self._read(), now)
         self.last_refresh = now
         return True

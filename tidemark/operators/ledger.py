@@ -9,9 +9,12 @@ from tidemark.operators.ranking import with_position
 from tidemark.shared import read_or_empty
 
 LEDGER_SCHEMA = (
-    "bucket_ts bigint, path string, batch_id bigint, loaded_at timestamp, finished_at timestamp"
+    "bucket_ts bigint, path string, batch_id bigint, loaded_at timestamp, finished_at timestamp, "
+    "seen bigint, dropped bigint, too_long bigint"
 )
 LEDGER_COLUMNS = ["bucket_ts", "path", "batch_id", "loaded_at", "finished_at"]
+LOAD_COUNTS = ["seen", "dropped", "too_long"]
+"""Lines of the whole load; each of its buckets' rows has them. Null where a writer kept none."""
 
 
 def unique_buckets(ready: DataFrame) -> DataFrame:
@@ -50,12 +53,17 @@ def load_log(processed: DataFrame) -> DataFrame:
     )
 
 
-def mark_processed(loaded: DataFrame, path: str) -> None:
+def mark_processed(loaded: DataFrame, path: str, known_new: bool = False) -> None:
     """Append one row per bucket; buckets the ledger holds already are left alone.
 
-    ``loaded`` has the ledger's columns and the size of a batch. The rows are written
-    as one file, so that they become visible together.
+    ``loaded`` has the ledger's columns, the load counts or not, and the size of a batch. The
+    rows are written as one file, so that they become visible together. ``known_new`` says that
+    the ledger holds none of them. A ledger has one writer: two jobs on one ledger could both
+    find a bucket missing.
     """
     spark = loaded.sparkSession
-    new = pending(loaded, read_ledger(spark, path)).select(*LEDGER_COLUMNS)
-    new.coalesce(1).write.mode("append").parquet(path)
+    counts = [
+        (F.col(c) if c in loaded.columns else F.lit(None)).cast("bigint").alias(c) for c in LOAD_COUNTS
+    ]
+    new = loaded if known_new else pending(loaded, read_ledger(spark, path))
+    new.select(*LEDGER_COLUMNS, *counts).coalesce(1).write.mode("append").parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.enrich import small_enough
 from tidemark.operators.layout import by_key_range
 from tidemark.shared import shared_folder
 
@@ -43,6 +44,9 @@ def with_position(
         *[F.col(c).alias(f"_{c}") for c in within],
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    # without groups there is one count per partition; else the counts are measured
+    if not within or small_enough(starts):
+        starts = F.broadcast(starts)
     same = F.shiftrightunsigned("_at", _PARTITION_BITS) == starts["_part"]
     for name in within:
         same = same & placed[name].eqNullSafe(starts[f"_{name}"])

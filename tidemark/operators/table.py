@@ -16,13 +16,14 @@ from tidemark.functions.fields import USER_KEY_SEPARATOR
 from tidemark.functions.regions import region_interval, region_of_key, split_key_list
 from tidemark.operators.layout import by_region
 from tidemark.settings import LoadSettings
-from tidemark.shared import delete_path, many_folders, path_exists, session_setting
+from tidemark.shared import delete_path, many_folders, path_exists, read_or_empty, session_setting
 
 TABLE_COLUMNS = (
     "userid_ts string, payload string, location_history string, loaded_at timestamp, "
     "bucket_ts bigint, region int"
 )
 COLUMN_ORDER = ["userid_ts", "payload", "location_history", "loaded_at", "bucket_ts", "region"]
+TTL_PROPERTY = "tidemark.ttl_seconds"
 NEWEST = ["loaded_at", "bucket_ts", "payload"]
 """What makes one write of a key newer than another; the payload only breaks ties."""
 
@@ -30,7 +31,8 @@ NEWEST = ["loaded_at", "bucket_ts", "payload"]
 def create_table(spark: SparkSession, settings: LoadSettings) -> list[str]:
     """Create the pre-split table if it is absent and return its region start keys.
 
-    The start keys of an existing table stay what they were, whatever the settings say.
+    The start keys and the time to live of an existing table stay what they were, whatever
+    the settings say.
     """
     if not path_exists(spark, settings.bounds_path):
         keys = split_key_list(spark, settings.regions)
@@ -41,7 +43,8 @@ def create_table(spark: SparkSession, settings: LoadSettings) -> list[str]:
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {settings.table} ({TABLE_COLUMNS}) USING parquet "
         f"OPTIONS (compression '{settings.compression}') "
-        f"PARTITIONED BY (bucket_ts, region) LOCATION '{settings.data_path}'"
+        f"PARTITIONED BY (bucket_ts, region) LOCATION '{settings.data_path}' "
+        f"TBLPROPERTIES ('{TTL_PROPERTY}' = '{settings.ttl_seconds}')"
     )
     if not known and path_exists(spark, settings.data_path):
         spark.sql(f"MSCK REPAIR TABLE {settings.table}")
@@ -54,6 +57,12 @@ def table_bounds(spark: SparkSession, settings: LoadSettings) -> list[str]:
     return sorted(row["start_key"] for row in bounds.collect())
 
 
+def table_ttl(spark: SparkSession, settings: LoadSettings) -> int:
+    """The table's time to live in seconds, asked of the catalog alone."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {settings.table}").collect()}
+    return int(found.get(TTL_PROPERTY, settings.ttl_seconds))
+
+
 def publish(rows: DataFrame, settings: LoadSettings) -> None:
     """Write whole buckets. Spark stages the files and publishes them on commit, and
     only the partitions that occur in ``rows`` are replaced. Load times are written in
@@ -104,7 +113,7 @@ def visible_versions(
 ) -> DataFrame:
     """All stored versions that have not expired."""
     rows = spark.table(settings.table)
-    return rows.where(is_visible(F.col("loaded_at"), settings.ttl_seconds, as_of))
+    return rows.where(is_visible(F.col("loaded_at"), table_ttl(spark, settings), as_of))
 
 
 def _served(versions: DataFrame) -> DataFrame:
@@ -129,7 +138,7 @@ def create_view(spark: SparkSession, settings: LoadSettings, name: str) -> None:
         SELECT userid_ts, last.payload AS payload, last.location_history AS location_history
         FROM (SELECT region, userid_ts, max(struct({newest})) AS last
               FROM {settings.table}
-              WHERE loaded_at >= current_timestamp() - INTERVAL {settings.ttl_seconds} SECOND
+              WHERE loaded_at >= current_timestamp() - INTERVAL {table_ttl(spark, settings)} SECOND
               GROUP BY region, userid_ts)
         """
     )
@@ -199,11 +208,16 @@ def drop_expired(
     spark: SparkSession, settings: LoadSettings, ledger: DataFrame, as_of: Column | None = None
 ) -> list[int]:
     """Free the storage of expired buckets; their ledger rows stay, so that they are
-    not loaded again."""
-    expired = expired_buckets(ledger, settings.ttl_seconds, as_of).select("bucket_ts").distinct()
-    stored = spark.sql(f"SHOW PARTITIONS {settings.table}").select(
-        F.regexp_extract("partition", "^bucket_ts=([0-9]+)/", 1).cast("bigint").alias("bucket_ts")
-    )
-    names = [row["bucket_ts"] for row in expired.join(stored, "bucket_ts", "left_semi").collect()]
-    drop_buckets(spark, settings, names)
+    not loaded again.
+
+    Buckets freed are noted below the table's root after they are gone, so each call asks for
+    what has expired since the one before, and a call that stops in between is repeated.
+    """
+    expired = expired_buckets(ledger, table_ttl(spark, settings), as_of).select("bucket_ts").distinct()
+    gone = read_or_empty(spark, settings.expired_path, "bucket_ts bigint")
+    names = sorted(r["bucket_ts"] for r in expired.join(gone, "bucket_ts", "left_anti").collect())
+    if names:
+        drop_buckets(spark, settings, names)
+        noted = spark.createDataFrame([(n,) for n in names], "bucket_ts bigint")
+        noted.coalesce(1).write.mode("append").parquet(settings.expired_path)
     return names

@@ -54,11 +54,11 @@ PAYLOAD_SQL = """
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``sec``, their epoch second. The zone is set because the files hold
-    timestamps without one."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Events with ``sec``, their epoch second. The files hold timestamps without a zone,
+    taken as UTC whatever the zone of the session."""
     frame = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return frame.withColumn("sec", F.unix_seconds(F.col("ts").cast("timestamp")))
+    day = F.unix_date(F.col("ts").cast("date")).cast("bigint") * DAY_SECONDS
+    return frame.withColumn("sec", day + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts"))
 
 
 def _as_text(frame: DataFrame) -> DataFrame:
@@ -91,8 +91,7 @@ def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entries of each day's first half: loaded already, the second half is waiting."""
-    hour = F.hour(F.timestamp_seconds("bucket_ts"))
-    return ready(spark, sf_dir).where(hour < 12)
+    return ready(spark, sf_dir).where(F.col("bucket_ts") % DAY_SECONDS < DAY_SECONDS // 2)
 
 
 def ready_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,9 @@ from tidemark.sources.manifest import READY_SCHEMA
 
 log = logging.getLogger(__name__)
 
+EXPIRY_SECONDS = 3600
+"""A job frees what has expired with its first load, then at most this often."""
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -58,8 +61,9 @@ class LoadJob:
         self.location = None
         if settings.resolve_location:
             self.location = enrich.RefreshedDimension(
-                dimension, settings.refresh_hours, int(clock())
+                dimension, settings.refresh_hours, int(clock()), settings.location_path
             )
+        self._freed: int | None = None
         self._metrics({metrics.APPLICATION_ID: spark.sparkContext.applicationId})
 
     def run(self, ready: Callable[[], DataFrame]) -> list[LoadResult]:
@@ -110,8 +114,15 @@ class LoadJob:
         )
         self._mark(batch, result)
         self._after(result, paths, names, backlog["ready"], backlog["processed"] + len(batch))
+        self._free(finished)
         return result
 
+    def _free(self, now: int) -> None:
+        if self._freed is None or now - self._freed >= EXPIRY_SECONDS:
+            done = ledger.read_ledger(self.spark, self.settings.ledger_path)
+            table.drop_expired(self.spark, self.settings, done, F.timestamp_seconds(F.lit(now)))
+            self._freed = now
+
     def _mark(self, batch: list, result: LoadResult) -> None:
         done = self.spark.createDataFrame(
             [(row["bucket_ts"], row["path"]) for row in batch], READY_SCHEMA
@@ -120,13 +131,15 @@ class LoadJob:
                 "batch_id": F.lit(result.batch_id).cast("bigint"),
                 "loaded_at": F.timestamp_seconds(F.lit(result.started)),
                 "finished_at": F.timestamp_seconds(F.lit(result.finished)),
+                **{name: F.lit(getattr(result, name)) for name in ledger.LOAD_COUNTS},
             }
         )
-        ledger.mark_processed(done, self.settings.ledger_path)
+        ledger.mark_processed(done, self.settings.ledger_path, True)
 
     # --- data ----------------------------------------------------------------------
 
     def _write(self, paths: list[str], names: list[int], started: int) -> dict[str, int]:
+        """Publish the lines of a batch; an error unless every line kept is stored afterwards."""
         spark, settings = self.spark, self.settings
         records = parse.with_fields(read_buckets(spark, paths))
         records, observed = quality.observed(records, quality.datatype1_counts())
@@ -142,12 +155,16 @@ class LoadJob:
         table.drop_buckets(spark, settings, names)
         table.publish(rows, settings)
         stored = spark.table(settings.table).where(F.col("bucket_ts").isin(names)).count()
+        kept = lambda c: c["n_split"] - c["split_drop"] - c["key_drop"]
         if stored:
             counts = observed.get
-            if stored == counts["n_split"] - counts["split_drop"] - counts["key_drop"]:
+            if stored == kept(counts):
                 return counts
         # nothing to observe, or tasks counted twice after an executor was lost
-        return self._count(paths, quality.datatype1_counts())
+        counts = self._count(paths, quality.datatype1_counts())
+        if stored != kept(counts):
+            raise RuntimeError(f"{stored} rows are stored of {kept(counts)} in buckets {names}")
+        return counts
 
     def _count(self, paths: list[str], counts: list[Column]) -> dict[str, int]:
         records = parse.with_fields(read_buckets(self.spark, paths))

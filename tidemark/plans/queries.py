@@ -347,7 +347,7 @@ def retention_ttl(spark, sf_dir):
     """Rows still visible on 2024-02-10 when each bucket is loaded at its own epoch."""
     bucket = bucket_start(F.col("sec")).alias("bucket_ts")
     rows = inputs.events(spark, sf_dir).select("event_id", bucket)
-    as_of = F.lit("2024-02-10 00:00:00").cast("timestamp")
+    as_of = F.timestamp_seconds(F.lit(1_707_523_200))
     return rows.where(table.is_visible(F.timestamp_seconds("bucket_ts"), 2_592_000, as_of))
 
 

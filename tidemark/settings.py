@@ -44,15 +44,12 @@ def codec_or_default(name: str | None) -> str:
 
 
 def regions_or_default(value: object) -> int:
-    """Region count; text that is no positive whole number falls back to 100."""
+    """Region count; text that is no whole number falls back to 100, and below 1 there is one region."""
     try:
-        count = int(str(value))
+        return max(1, int(str(value)))
     except ValueError:
-        count = 0
-    if count < 1:
         log.warning("region count %r is not usable, using %d", value, DEFAULT_REGIONS)
         return DEFAULT_REGIONS
-    return count
 
 
 @dataclass
@@ -109,6 +106,14 @@ class LoadSettings:
     def ledger_path(self) -> str:
         return f"{self.root}/processed"
 
+    @property
+    def expired_path(self) -> str:
+        return f"{self.root}/expired"
+
+    @property
+    def location_path(self) -> str:
+        return f"{self.root}/location"
+
     @property
     def metrics_path(self) -> str:
         return f"{self.root}/metrics"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import BUCKET_SECONDS, bucket_start
@@ -120,18 +120,25 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Root of bucket folders holding ``lines``, one folder a day: the tables have few
-    events per half hour, and a folder with seven lines would measure file creation."""
+    """Folder with two roots, ``a`` and ``b``, of bucket folders holding ``lines``, the days by
+    turns. One folder a day: the tables have few events per half hour, and a folder with
+    seven lines would measure file creation."""
     return _landing(spark, spark.sparkContext.applicationId, sf_dir)
 
 
 @cache
 def _landing(spark: SparkSession, _app: str, sf_dir: str) -> str:
     root = new_folder(spark, "landing")
-    bucket_source.write_buckets(lines(spark, sf_dir, DAY_SECONDS), root)
+    texts = lines(spark, sf_dir, DAY_SECONDS)
+    for side in ("a", "b"):
+        bucket_source.write_buckets(texts.where(_side() == side), f"{root}/{side}")
     return root
 
 
+def _side() -> Column:
+    return F.when(F.col("bucket_ts") % (2 * DAY_SECONDS) == 0, "a").otherwise("b")
+
+
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = bucket_start(F.col("sec"), DAY_SECONDS).alias("bucket_ts")
     return events(spark, sf_dir).select(day).distinct()
@@ -140,7 +147,8 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ready entries that point at the bucket folders of ``landing``."""
     root = landing(spark, sf_dir)
-    return days(spark, sf_dir).withColumn("path", F.concat(F.lit(f"{root}/ts="), F.col("bucket_ts").cast("string")))
+    path = F.concat(F.lit(f"{root}/"), _side(), F.lit("/ts="), F.col("bucket_ts").cast("string"))
+    return days(spark, sf_dir).withColumn("path", path)
 
 
 def new_settings(

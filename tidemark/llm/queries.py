@@ -15,6 +15,7 @@ from tidemark.llm.language_model import score_texts
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.pii import BASE_KINDS, find_personal_data
 from tidemark.llm.quality import MEASURES, quality_cascade
+from tidemark.llm.resampling import resample
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.warc import archive_round_trip
@@ -101,6 +102,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {

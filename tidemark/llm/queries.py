@@ -14,6 +14,7 @@ from tidemark.llm.language_id import identify_language, train_language_model
 from tidemark.llm.language_model import score_texts
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.pii import BASE_KINDS, find_personal_data
+from tidemark.llm.pivot_search import top_inner_products
 from tidemark.llm.quality import MEASURES, quality_cascade
 from tidemark.llm.resampling import resample
 from tidemark.llm.simhash import near_duplicates
@@ -102,6 +103,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_top_k": op11_top_k,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -132,4 +138,16 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN again THEN first_id END AS refers_to
         FROM marked
     """,
+    "op11_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }

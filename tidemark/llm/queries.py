@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_encode
+from tidemark.llm.conversations import conversation_key, damaged, digests, repair_conversations
 from tidemark.llm.decontaminate import benchmark_hits
 from tidemark.llm.language_id import identify_language, train_language_model
 from tidemark.llm.language_model import score_texts
@@ -107,6 +108,16 @@ def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, lines = repair_conversations(damaged(rows))
+    every = rows.select("conv_id").distinct().withColumn("conv", conversation_key("conv_id"))
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    found = every.join(report, "conv", "left").join(digests(lines), "conv", "left")
+    numbers = [number(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -123,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op11_top_k": op11_top_k,
+    "op12_conversations": op12_conversations,
     "op13_importance_resampling": op13_importance_resampling,
 }
 

@@ -35,6 +35,13 @@ def test_training_ignores_the_held_out_fold(docs, spark):
     assert model.languages == ["de", "xx"]
 
 
+def test_numerals_are_no_letters(spark, docs):
+    rows = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ 12"), (3, "½ a"), (4, "日")], "doc_id long, text string")
+    found = {r.doc_id: r for r in identify_language(rows, train_language_model(docs)).collect()}
+    assert [(found[k].lang_pred, found[k].score) for k in (1, 2)] == [("und", 0.0)] * 2
+    assert found[3].lang_pred != "und" and found[4].lang_pred != "und"
+
+
 def test_undetermined_rows(docs, no_docs, texts, by_id):
     model = train_language_model(docs)
     found = by_id(identify_language(docs, model))

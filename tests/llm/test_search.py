@@ -9,6 +9,8 @@ import pytest
 from tidemark.llm import decontaminate
 from tidemark.llm.decontaminate import Benchmark, benchmark_hits, words
 from tidemark.llm.licenses import SENTENCES, Recognizer, recognizer, scan_licenses
+from tidemark.llm import pii
+from tidemark.llm.batches import add_columns
 from tidemark.llm.pii import all_spans, base_spans, find_personal_data, luhn, redact, score_patterns, trusted_patterns
 from tidemark.llm.queries import op6_decontamination, op7_license_scan, op8_pii
 
@@ -142,12 +144,47 @@ def test_patterns_find_unseen_identifiers(spark):
     known = [(k, f'text before badge = "{"%016x" % (0xAB12CD34EF << 24 | k * 7919)}" and after') for k in range(40)]
     fresh = [(100, "the badge = KUNDE-77231 is new"), (101, "the sum = ORDER-77231 is not")]
     rows = spark.createDataFrame(known + fresh, "doc_id long, text string")
-    assert trusted_patterns(rows) == ["name badge"]
+    assert [r.pattern for r in trusted_patterns(rows).collect()] == ["name badge"]
     found = {r.doc_id: r for r in find_personal_data(rows).collect()}
     assert found[100].redacted == "the badge = <ID> is new"
     assert found[101].spans == []
 
 
+def test_identifiers_of_any_length(spark):
+    known = [(k, f'badge = "{"%016x" % (0xAB12CD34EF << 24 | k * 7919)}"') for k in range(60)]
+    sizes = [4, 7, 8, 128, 129, 4_000, 100_000]
+    fresh = [(100 + n, 'the badge = "' + ("K123" * n)[:n] + '" is new') for n in sizes]
+    hexes = [(200_000 + n, "see " + ("a1" * n)[:n] + " there") for n in (16, 128, 129, 100_000)]
+    rows = spark.createDataFrame(known + fresh + hexes, "doc_id long, text string")
+    found = {r.doc_id: r for r in find_personal_data(rows).collect()}
+    assert all(found[100 + n].redacted == 'the badge = "<ID>" is new' for n in sizes)
+    assert all(found[i].redacted == "see <ID> there" for i, _ in hexes)
+
+
+def test_trust_at_any_corpus_size(spark, monkeypatch):
+    """A pattern seen nine times is trusted among thousands of others, and joined ones give what broadcast ones give."""
+    rare = [(k, f"staff code {'%016x' % (0xAB12CD34EF << 24 | k * 7919)} here") for k in range(9)]
+    common = [(1000 + k, f"of the {'%016x' % (0xCD12CD34EF << 24 | k * 7919)} here") for k in range(5)]
+    prose = [(5000 + k, "one of the many of the words of the text " * 3 + f"in room {k}77") for k in range(300)]
+    fresh = [(9000, "his staff code ORDER-77231 and of the ORDER-77231")]
+    rows = spark.createDataFrame(rare + common + prose + fresh, "doc_id long, text string")
+    whole = {r.doc_id: r for r in find_personal_data(rows, keep=["doc_id", "text"]).collect()}
+    assert whole[9000].redacted == "his staff code <ID> and of the ORDER-77231"
+    assert all(whole[i].redacted == whole[i].text for i, _ in prose)
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", -1)
+    assert {r.doc_id: r for r in find_personal_data(rows, keep=["doc_id", "text"]).collect()} == whole
+
+
+def test_contexts():
+    text = 'api_key = "x" one two\nthree four, 5 six'
+    contexts = pii.Contexts(text)
+    assert contexts.before(text.index("x")) == "name api_key"
+    assert contexts.before(text.index("two") + 1) == "words one t"
+    assert contexts.before(text.index("four")) is None
+    assert contexts.before(text.index("5")) == "words three four"
+    assert pii.name_before("a=1", 2) is None and pii.name_before("=1", 1) is None and pii.name_before("1", 0) is None
+
+
 def test_scores_spread_over_the_graph(spark):
     edges = [("p", i, True, 5) for i in range(20)] + [("p", 100 + i, False, 1) for i in range(4)] + [("q", 100 + i, False, 10) for i in range(4)] + [("r", 900, False, 3)]
     scores = {r.pattern: r.score for r in score_patterns(spark.createDataFrame(edges, "pattern string, instance long, seed boolean, n long")).collect()}
@@ -172,3 +209,18 @@ def test_personal_data_rows(spark, docs, no_docs, texts, by_id, sf):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(filter(None, joined.split(","))) <= set(filter(None, r.spans.split(",")))
+
+
+def test_text_item_ids(spark, docs):
+    bench = spark.createDataFrame([("b-2", "the quick brown fox"), ("a", "lazy dog"), (None, "over the")], "item_id string, text string")
+    found = {r.doc_id: r for r in benchmark_hits(docs.where("doc_id = 1"), bench).collect()}
+    assert found[1].hit_items == ["a", "b-2"] and found[1].n_hit == 8
+
+
+def test_invalid_utf8(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62' AS string) AS text")
+    assert op_texts(rows) == ["a\ufffdb"]
+
+
+def op_texts(rows):
+    return [r.back for r in add_columns(rows, ["doc_id"], ["text"], lambda: lambda part: {"back": part["text"]}, {"back": "string"}).collect()]

@@ -45,6 +45,14 @@ def slices(batch: pa.RecordBatch, most_bytes: int = SLICE_BYTES) -> Iterator[pa.
         start = stop
 
 
+def to_list(column: pa.Array) -> list:
+    """Python values; bytes of a text that are no UTF-8 become U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [x if x is None else x.decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
+
+
 def to_array(values, kind: str) -> pa.Array:
     if isinstance(values, pa.Array):
         return values
@@ -71,7 +79,7 @@ def add_columns(
         step = work()
         for batch in batches:
             for part in slices(batch, slice_bytes):
-                out = step({c: part.column(c).to_pylist() for c in read})
+                out = step({c: to_list(part.column(c)) for c in read})
                 arrays = [part.column(c) for c in keep] + [to_array(out[c], kind) for c, kind in added.items()]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *added])
 
@@ -87,7 +95,7 @@ def emit_rows(
     """Any number of output rows: the function ``work()`` returns goes over the slices of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = ({c: part.column(c).to_pylist() for c in read} for batch in batches for part in slices(batch))
+        parts = ({c: to_list(part.column(c)) for c in read} for batch in batches for part in slices(batch))
         for out in work()(parts):
             yield pa.RecordBatch.from_arrays([to_array(out[c], kind) for c, kind in schema.items()], names=list(schema))
 

@@ -60,9 +60,9 @@ class WuManber:
 class Benchmark:
     """The windows of benchmark items: 13 words, or all of a shorter item."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
+    def __init__(self, items: list[tuple[str | None, str | None]]):
         self.number: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = {}
+        owners: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             ids = tuple(self.number.setdefault(w, len(self.number)) for w in words(text))
             for start in range(max(1, len(ids) - WINDOW + 1) if ids else 0):
@@ -72,12 +72,12 @@ class Benchmark:
             by_length.setdefault(len(window).bit_length() if len(window) < WINDOW else WINDOW, []).append(window)
         self.searches = [(s := WuManber(w), [sorted(owners[x]) for x in s.windows]) for w in by_length.values()]
 
-    def find(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def find(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Runs [start, end) of hit words, merged and in order, and the items whose windows occur."""
         number = self.number.get
         ids = tuple([number(w, -1) for w in text])
         runs: list[tuple[int, int]] = []
-        items: set[int] = set()
+        items: set[str] = set()
         for search, owners in self.searches:
             for start, k in search.search(ids):
                 runs.append((start, start + len(search.windows[k])))
@@ -102,14 +102,14 @@ def _parts(benchmark: DataFrame, item_column: str, text_column: str):
     part = F.pmod(F.xxhash64(F.col(item_column).cast("string"), F.col(text_column)), F.lit(n))
     for k in range(n):
         rows = benchmark if n == 1 else benchmark.where(part == k)
-        yield [(r[0], r[1]) for r in rows.select(item_column, text_column).collect()]
+        yield [(r[0], r[1]) for r in rows.select(F.col(item_column).cast("string"), text_column).collect()]
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Which words of each whole text lie in an occurrence of a benchmark window.
 
     Returns ``keep`` (the id if not given), ``n_words``, ``hit_runs`` (starts and ends of the runs of hit
-    words, alternating), ``hit_items`` (sorted items with occurring windows) and ``n_hit``. There is no
+    words, alternating), ``hit_items`` (items with occurring windows, as sorted texts) and ``n_hit``. There is no
     shuffle: every task holds the search tables of one part of the benchmark at a time. A null or empty text
     has no words, an item without words has no window; the windows of an item without id mark words but
     name no item; repeated items count once. Repeated rows and null ids stay, empty tables give empty
@@ -117,7 +117,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "d
     """
     context = docs.sparkSession.sparkContext
     keep = keep or [id_column]
-    state = {"n_words": "long", "hit_runs": "array<int>", "hit_items": "array<long>"}
+    state = {"n_words": "long", "hit_runs": "array<int>", "hit_items": "array<string>"}
     frame, carried = docs, []
     for items in chain(_parts(benchmark, item_column, item_text_column), [[]]):
         if carried and not items:

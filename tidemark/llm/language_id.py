@@ -23,6 +23,8 @@ PASSAGES = 3
 PASSAGE_WORDS = 48
 #: Text that is turned into arrays at once: they take some 60 times as much memory.
 SLICE_BYTES = 1 << 20
+#: Languages that are learned, the commonest ones: a bound for a column that holds anything else.
+MOST_LANGUAGES = 1000
 _LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint64)
 
@@ -65,6 +67,11 @@ def subwords(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     return found, starts
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a character is a letter; numerals that count as word characters (as in one half) are none."""
+    return bool(text) and any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 @dataclass
 class LanguageModel:
     """``scores`` is the embedding table times the softmax weights: averaging them is averaging embeddings first."""
@@ -153,20 +160,21 @@ def _calibrated(model: LanguageModel, features: list[np.ndarray], target: np.nda
 
 
 def train_language_model(labelled: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", sample_documents: int = SAMPLE_DOCUMENTS) -> LanguageModel:
-    """Fit on about ``sample_documents`` rows with a text and a language, the same share of rows by id hash for all.
+    """Fit on about ``sample_documents`` rows with a text and a language, drawn by id hash in equal parts from the
+    ``MOST_LANGUAGES`` commonest languages (of two as common, the one that sorts first).
 
     Subwords of the sampled passages come from Spark tasks; the driver holds at most
     ``sample_documents * PASSAGES`` lists of bucket numbers, however long the texts are.
     """
     rows = labelled.where(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_column).count().collect()}
+    sizes = rows.groupBy(F.col(lang_column).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not sizes:
         return fit([], [])
-    share = F.lit(0.0)
-    for language, size in sizes.items():
-        share = F.when(F.col(lang_column) == language, F.lit(min(1.0, sample_documents / len(sizes) / size))).otherwise(share)
+    shares = [(r["lang"], min(1.0, sample_documents / len(sizes) / r["count"])) for r in sizes]
+    learned = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))  # MOST_LANGUAGES rows
     place = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(place < share).select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), F.xxhash64(F.col(id_column).cast("string")).alias("seed"))
+    known = rows.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"), F.xxhash64(F.col(id_column).cast("string")).alias("seed"), place.alias("place"))
+    sample = known.join(learned, "lang").where(F.col("place") < F.col("share"))
 
     def work():
         def step(parts):
@@ -203,7 +211,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, id_column: str =
 
         def step(part):
             texts = part[text_column]
-            has = [k for k, t in enumerate(texts) if t and _LETTER.search(t)] if known.languages else []
+            has = [k for k, t in enumerate(texts) if has_letter(t)] if known.languages else []
             lang, score, rejected = [UNDETERMINED] * len(texts), [0.0] * len(texts), [True] * len(texts)
             if has:
                 best, chance = known.predict([texts[k] for k in has])

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import add_columns, emit_rows
+from tidemark.operators.enrich import small_enough
+from tidemark.shared import new_folder
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Identifiers found by context come last.
@@ -20,10 +23,12 @@ ROUNDS = 3
 #: A pattern is trusted at this share of known instances, damped by ``DAMPING`` unknown ones.
 TRUST = 0.8
 DAMPING = 1.0
-#: Least share of all pattern occurrences that a trusted pattern has. So there are at most its inverse, 200,000, of them,
-#: and the trusted ones can be sent to every task.
-LEAST_SHARE = 5e-6
 LEAST_INSTANCES = 3
+#: Least share of the places where the words of a pattern stand that an identifier follows.
+LEAST_PRECISION = 0.5
+#: Trusted patterns of up to this many bytes are sent to every task; more are joined.
+BROADCAST_BYTES = 8 << 20
+HELD_COUNTS = 200_000
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,10 +42,9 @@ _HINT = re.compile(r"[0-9]|AKIA")
 #: Fixed forms of secrets that serve as seeds beside the base kinds: AWS access key ids, long hexadecimal strings.
 _SEED = re.compile(r"AKIA[0-9A-Z]{16}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{16,}")
 _CORE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_/+.-]*[A-Za-z0-9])?")
-_NAMED = re.compile(r"([A-Za-z_]{2,40})[ ]?[=:][ ]?[\"']?$")
+_NAME = re.compile(r"[A-Za-z_]")
 _WORD = re.compile(r"[^\W\d_]+")
-LEFT_CHARS = 48
-CORE_LENGTHS = range(8, 129)
+CORE_CHARS = 4
 CORE_DIGITS = 3
 
 Span = tuple[str, int, int]
@@ -90,19 +94,53 @@ def order(span: Span) -> tuple[int, int]:
     return span[1], KINDS.index(span[0])
 
 
-def context(text: str, start: int) -> str | None:
-    """The lexical pattern before a position: the name in ``name = "``, else the last two words of the line."""
-    left = text[max(0, start - LEFT_CHARS) : start]
-    left = left[left.rfind("\n") + 1 :]
-    named = _NAMED.search(left)
-    if named:
-        return f"name {named[1].lower()}"
-    found = _WORD.findall(left)
-    return "words " + " ".join(w.lower() for w in found[-2:]) if len(found) >= 2 else None
+def name_before(text: str, start: int) -> str | None:
+    """The name in ``name = "`` before a position: two letters or more."""
+    at = start - (start > 0 and text[start - 1] in "\"'")
+    at -= at > 0 and text[at - 1] == " "
+    if not at or text[at - 1] not in "=:":
+        return None
+    at -= 1
+    at -= at > 0 and text[at - 1] == " "
+    first = at
+    while first and _NAME.match(text, first - 1):
+        first -= 1
+    return text[first:at].lower() if at - first >= 2 else None
+
+
+class Contexts:
+    """Lexical patterns before positions of a text, asked for in rising order; the words of a line are found once."""
+
+    def __init__(self, text: str):
+        self.text, self.line_end, self.ends, self.words = text, -1, [], []
+
+    def before(self, start: int) -> str | None:
+        """The name in ``name = "``, else the last two words of the line that lie before ``start``."""
+        name = name_before(self.text, start)
+        if name:
+            return f"name {name}"
+        if start > self.line_end:
+            first = self.text.rfind("\n", 0, start) + 1
+            self.line_end = self.text.find("\n", start) % (len(self.text) + 1)
+            found = list(_WORD.finditer(self.text, first, self.line_end))
+            self.ends, self.words = [m.end() for m in found], found
+        k = bisect_right(self.ends, start)
+        # a word that goes on to the position is cut there
+        cut = [self.text[self.words[k].start() : start]] if k < len(self.words) and self.words[k].start() < start else []
+        last = [m[0] for m in self.words[max(0, k - 2) : k]] + cut
+        return "words " + " ".join(w.lower() for w in last[-2:]) if len(last) >= 2 else None
+
+
+def word_pairs(text: str) -> Iterator[str]:
+    """The patterns of all neighbouring words of each line."""
+    for line in text.split("\n"):
+        found = _WORD.findall(line.lower())
+        for a, b in zip(found, found[1:]):
+            yield f"words {a} {b}"
 
 
 def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, bool]]:
-    """(start, end, seed) of strings that look like identifiers and touch no base span: with digits, not too short."""
+    """(start, end, seed) of strings that look like identifiers and touch no base span: ``CORE_CHARS`` or more, with digits."""
     starts = sorted((a, b) for _, a, b in base)
     done = 0
     hint = _HINT.search(text)
@@ -115,7 +153,7 @@ def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, bool]]:
         done = b
         for m in _CORE.finditer(text, a, b):
             core = m[0]
-            if len(core) not in CORE_LENGTHS:
+            if len(core) < CORE_CHARS:
                 continue
             seed = bool(_SEED.fullmatch(core))
             if seed or sum(c.isdigit() for c in core) >= CORE_DIGITS:
@@ -137,8 +175,9 @@ def pattern_edges(docs: DataFrame, text_column: str = "text") -> DataFrame:
                         continue
                     base = base_spans(text)
                     spans = [(a, b, True) for _, a, b in base] + list(candidates(text, base))
-                    for a, b, seed in spans:
-                        pattern = context(text, a)
+                    contexts = Contexts(text)
+                    for a, b, seed in sorted(spans):
+                        pattern = contexts.before(a)
                         if pattern:
                             out["pattern"].append(pattern)
                             out["value"].append(text[a:b])
@@ -175,21 +214,73 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return patterns
 
 
-def trusted_patterns(docs: DataFrame, text_column: str = "text") -> list[str]:
-    """Patterns to extract by. At most ``1 / LEAST_SHARE`` of them, since their shares of all occurrences sum to 1."""
-    edges = pattern_edges(docs, text_column).checkpoint()
-    total = edges.agg(F.sum("n")).first()[0]
-    if not total:
-        return []
-    sure = score_patterns(edges).where((F.col("score") >= TRUST) & (F.col("n_instances") >= LEAST_INSTANCES) & (F.col("n_all") >= LEAST_SHARE * total))
-    return [r[0] for r in sure.select("pattern").collect()]
+def pattern_places(docs: DataFrame, patterns: DataFrame, text_column: str = "text") -> DataFrame:
+    """(pattern, places): how often the two words of each pattern stand next to each other in a line of any text."""
+    shared = _shared(patterns)
+
+    def work():
+        wanted = None if shared is None else shared.value
+
+        def step(parts):
+            held: Counter = Counter()
+            for part in parts:
+                for text in part[text_column]:
+                    if text:
+                        held.update(word_pairs(text) if wanted is None else filter(wanted.__contains__, word_pairs(text)))
+                    if len(held) > HELD_COUNTS:
+                        yield {"pattern": list(held), "n": list(held.values())}
+                        held.clear()
+            yield {"pattern": list(held), "n": list(held.values())}
+
+        return step
+
+    found = emit_rows(docs, [text_column], work, {"pattern": "string", "n": "long"})
+    counted = found.groupBy("pattern").agg(F.sum("n").alias("places"))
+    return counted.join(patterns.select("pattern"), "pattern") if shared is None else counted
+
+
+def _shared(patterns: DataFrame):
+    """The patterns as a broadcast set if their measured size allows it, else None."""
+    if not small_enough(patterns.select("pattern"), BROADCAST_BYTES):
+        return None
+    return patterns.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in patterns.select("pattern").collect()))
 
 
-def all_spans(text: str | None, trusted: set[str]) -> list[Span]:
+def trusted_patterns(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """(pattern): those to extract by, whatever their number and share.
+
+    A pattern is trusted if nearly all identifiers in its places are known ones, it has ``LEAST_INSTANCES`` different ones, and
+    identifiers follow it often: words that stand before anything, as ``of the`` does, aren't a sign of one.
+    """
+    spark = docs.sparkSession
+    edges = pattern_edges(docs, text_column).checkpoint()
+    scored = new_folder(spark, "pii-patterns")
+    score_patterns(edges).where((F.col("score") >= TRUST) & (F.col("n_instances") >= LEAST_INSTANCES)).select("pattern", "n_all").write.parquet(scored)
+    sure = spark.read.parquet(scored)
+    words = sure.where(F.startswith("pattern", F.lit("words ")))
+    folder = new_folder(spark, "pii-trusted")
+    places = pattern_places(docs, words, text_column)
+    precise = words.join(places, "pattern").where(F.col("n_all") >= LEAST_PRECISION * F.greatest("places", "n_all"))
+    sure.where(~F.startswith("pattern", F.lit("words "))).select("pattern").unionByName(precise.select("pattern")).write.parquet(folder)
+    return spark.read.schema("pattern string").parquet(folder)
+
+
+def found_spans(text: str | None) -> tuple[list[Span], list[Span], list[tuple[str, int, int]]]:
+    """Base spans, identifiers of known forms, and (pattern, start, end) of strings that a trusted pattern would make one."""
     if not text or not ("@" in text or _HINT.search(text)):
-        return []
-    base = base_spans(text)
-    more = [("id", a, b) for a, b, seed in candidates(text, base) if seed or context(text, a) in trusted]
+        return [], [], []
+    base, contexts, sure, open_ = base_spans(text), Contexts(text), [], []
+    for a, b, seed in candidates(text, base):
+        if seed:
+            sure.append(("id", a, b))
+        elif pattern := contexts.before(a):
+            open_.append((pattern, a, b))
+    return base, sure, open_
+
+
+def all_spans(text: str | None, trusted: frozenset[str]) -> list[Span]:
+    base, sure, open_ = found_spans(text)
+    more = sure + [("id", a, b) for pattern, a, b in open_ if pattern in trusted]
     return sorted(base + more, key=order) if more else base
 
 
@@ -214,19 +305,50 @@ def find_personal_data(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     spans and stays null, an empty one stays empty. Repeated rows and null ids stay, an empty table gives an
     empty result, other columns are not read.
     """
-    trusted = trusted_patterns(docs, text_column) if patterns is None else patterns
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(trusted))
+    spark = docs.sparkSession
+    keep = keep or [id_column]
+    trusted = trusted_patterns(docs, text_column) if patterns is None else spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    shared = _shared(trusted)
 
-    def work():
-        known = shared.value
+    def redacted(texts, found):
+        return {
+            "spans": [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in found],
+            "redacted": [redact(t, s) for t, s in zip(texts, found)],
+        }
+
+    if shared is not None:
+
+        def work():
+            known = shared.value
+            return lambda part: redacted(part[text_column], [all_spans(t, known) for t in part[text_column]])
+
+        return add_columns(docs, keep, [text_column], work, {"spans": SPANS, "redacted": "string"})
+
+    def pending():
+        def step(part):
+            found = [found_spans(t) for t in part[text_column]]
+            return {"open": [[{"kind": p, "start": a, "end": b} for p, a, b in open_] for _, _, open_ in found]}
+
+        return step
 
+    def settled():
         def step(part):
-            found = [all_spans(t, known) for t in part[text_column]]
-            return {
-                "spans": [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in found],
-                "redacted": [redact(t, s) for t, s in zip(part[text_column], found)],
-            }
+            found = []
+            for text, more in zip(part[text_column], part["more"]):
+                base, sure, _ = found_spans(text)
+                found.append(sorted(base + sure + [("id", s["start"], s["end"]) for s in more or []], key=order))
+            return redacted(part[text_column], found)
 
         return step
 
-    return add_columns(docs, keep or [id_column], [text_column], work, {"spans": SPANS, "redacted": "string"})
+    # too many patterns to hold: the strings in question are joined with them by pattern, and come back by row
+    folder = new_folder(spark, "pii-rows")
+    columns = list(dict.fromkeys([*keep, text_column]))
+    packed = docs.select(F.struct(*columns).alias("row"), F.col(text_column).alias(text_column), F.monotonically_increasing_id().alias("at"))
+    add_columns(packed, ["row", text_column, "at"], [text_column], pending, {"open": SPANS}).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    asked = rows.select("at", F.explode("open").alias("s")).select("at", F.col("s.kind").alias("pattern"), F.struct("s.start", "s.end").alias("span"))
+    more = asked.join(trusted, "pattern", "left_semi").groupBy("at").agg(F.collect_list("span").alias("more"))
+    joined = rows.drop("open").join(more, "at", "left")
+    done = add_columns(joined, ["row"], [text_column, "more"], settled, {"spans": SPANS, "redacted": "string"})
+    return done.select(*[F.col("row").getField(c).alias(c) for c in keep], "spans", "redacted")

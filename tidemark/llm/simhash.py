@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,9 @@ from tidemark.shared import new_folder
 SHINGLE_WORDS = 4
 MOST_BITS = 4
 SEED = 42
-#: The 32 segments of two bits lie in this many blocks; fingerprints within ``MOST_BITS`` agree in all counts of
-#: ``BLOCKS - MOST_BITS`` blocks at least.
-BLOCKS = 7
+#: The 32 segments of two bits lie in one of these numbers of blocks; fingerprints within ``MOST_BITS`` agree in all counts
+#: of all blocks but ``MOST_BITS`` at least. More blocks make more and smaller cells.
+BLOCKS = range(7, 25)
 #: Fingerprints that one task compares with each other; a fuller cell is cut into pairs of parts.
 PART = 2048
 #: Up to this many, the fingerprints of a cell are compared at once with those of other cells.
@@ -59,7 +60,17 @@ def segment_counts(fingerprint_column: str) -> Column:
     return first.bitwiseXOR(second).bitwiseOR(F.shiftleft(first.bitwiseAND(second), 1))
 
 
-def cell_masks(blocks: int = BLOCKS, most_bits: int = MOST_BITS) -> list[int]:
+def blocks_for(n: int, most_bits: int = MOST_BITS) -> int:
+    """Blocks with the least work for a fingerprint among ``n``: its cells, and those it meets there by chance.
+
+    Two random segments have equal counts with probability 3/8. So the pairs that meet grow with little more than the
+    number of fingerprints, not with its square.
+    """
+    cells = {b: comb(b, most_bits) for b in BLOCKS}
+    return min(BLOCKS, key=lambda b: cells[b] * (1 + n * 0.375 ** (32 * (b - most_bits) / b)))
+
+
+def cell_masks(blocks: int = BLOCKS[0], most_bits: int = MOST_BITS) -> list[int]:
     """Masks over the packed counts, one for each choice of blocks that may have to agree.
 
     The Manhattan distance of the counts is at most the number of differing bits, so at most ``most_bits``
@@ -71,10 +82,11 @@ def cell_masks(blocks: int = BLOCKS, most_bits: int = MOST_BITS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def cells(distinct: DataFrame) -> DataFrame:
+def cells(distinct: DataFrame, blocks: int) -> DataFrame:
     """(cell, fp): each fingerprint in its grid cell of every choice of blocks."""
-    keys = F.array(*[F.xxhash64(F.lit(k), F.col("counts").bitwiseAND(F.lit(m))) for k, m in enumerate(cell_masks())])
-    return distinct.select("fp", segment_counts("fp").alias("counts")).select(F.explode(keys).alias("cell"), "fp")
+    masks = F.array(*[F.lit(m) for m in cell_masks(blocks)])
+    counted = distinct.select("fp", segment_counts("fp").alias("counts"))
+    return counted.select("fp", "counts", F.posexplode(masks).alias("k", "mask")).select(F.xxhash64("k", F.col("counts").bitwiseAND(F.col("mask"))).alias("cell"), "fp")
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -207,7 +219,7 @@ def near_links(distinct: DataFrame) -> DataFrame:
     parts is a task group of its own: bounded tasks, no pair left out.
     """
     spark = distinct.sparkSession
-    gridded = cells(distinct)
+    gridded = cells(distinct, blocks_for(distinct.count()))
     folder = new_folder(spark, "simhash-links")
     gridded.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cell_links, _LINK_SCHEMA).write.parquet(folder)
     found = spark.read.parquet(folder)

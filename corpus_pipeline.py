@@ -28,33 +28,49 @@ def _columns(docs: DataFrame, **fresh: Column) -> list[Column]:
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is sure enough. Learns from the labelled documents it gets, outside the held-out fold."""
+    """Documents whose language is sure enough; rows without a letter go. Learns from the labelled documents it gets, outside the
+    held-out fold. Repeated rows and null ids are judged like others; without labelled rows or without rows nothing stays.
+    """
     found = identify_language(_as_row(docs), language_model(docs), keep=["text", ROW])
     return found.where(~F.col("rejected")).select(*_columns(docs))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows with that same id, one. Rows without an id stay."""
-    has_id = F.col("doc_id").isNotNull()
-    stays = near_duplicates(docs.where(has_id)).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where(has_id).join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where(~has_id))
+    """One row of each group: that with the smallest id, rows without an id last.
+
+    What is compared and kept is a row's id with its text, so an id that repeats with another text is another document. Of
+    rows alike in both the one whose other columns have the smallest hash stays. Null and empty texts are one group; an empty table stays empty.
+    """
+    rows = _as_row(docs)
+    doc_id = F.col(f"{ROW}.doc_id")
+    key = F.struct(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha"))
+    keyed = rows.withColumn("key", key)
+    stays = near_duplicates(keyed.select("key", "text"), id_column="key").where("key = component_id").select("key").distinct()
+    kept = keyed.join(stays, "key", "left_semi").groupBy("key")
+    one = kept.agg(F.min_by(F.struct("text", ROW), F.struct(F.sha2(F.to_json(ROW), 256), F.col("text").isNull())).alias("kept"))
+    return one.select("kept.*").select(*_columns(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words lie in benchmark windows."""
+    """Documents of which less than a twentieth of the words lie in benchmark windows. Null and empty texts, repeated rows
+    and null ids stay; an empty benchmark takes nothing, an empty table stays empty.
+    """
     hits = benchmark_hits(_as_row(docs), table(spark, sf_dir, "benchmark"), keep=["text", ROW])
     return hits.where(~contaminated()).select(*_columns(docs))
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in the text replaced by its kind; ``n_chars`` is that of the new text."""
+    """All documents, personal data in the text replaced by its kind; ``n_chars`` is that of the new text. A null text stays
+    null, repeated rows and null ids stay, an empty table stays empty.
+    """
     found = find_personal_data(_as_row(docs), keep=[ROW])
     return found.select(*_columns(docs, text=F.col("redacted"), n_chars=F.char_length("redacted").cast("long")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the decimal ids, comma-joined), ``ids``."""
+    """Token ids of each document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the decimal ids, comma-joined), ``ids``. A null
+    text has no ids, repeated rows and null ids stay, an empty table stays empty.
+    """
     coded = bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
     digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")

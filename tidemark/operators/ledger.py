@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.deltas import DeltaTable
 from tidemark.operators.ranking import with_position
-from tidemark.shared import read_or_empty
 
 LEDGER_SCHEMA = (
     "bucket_ts bigint, path string, batch_id bigint, loaded_at timestamp, finished_at timestamp, "
@@ -40,8 +42,12 @@ def batches(buckets: DataFrame, size: int) -> DataFrame:
     return placed.select(*buckets.columns, batch.alias("batch_id"))
 
 
+def ledger_table(spark: SparkSession, path: str) -> DeltaTable:
+    return DeltaTable(spark, path, LEDGER_SCHEMA)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, LEDGER_SCHEMA)
+    return ledger_table(spark, path).read()
 
 
 def load_log(processed: DataFrame) -> DataFrame:
@@ -53,17 +59,18 @@ def load_log(processed: DataFrame) -> DataFrame:
     )
 
 
-def mark_processed(loaded: DataFrame, path: str, known_new: bool = False) -> None:
+def mark_processed(loaded: DataFrame | Sequence[tuple], path: str, spark: SparkSession | None = None) -> None:
     """Append one row per bucket; buckets the ledger holds already are left alone.
 
-    ``loaded`` has the ledger's columns, the load counts or not, and the size of a batch. The
-    rows are written as one file, so that they become visible together. ``known_new`` says that
-    the ledger holds none of them. A ledger has one writer: two jobs on one ledger could both
-    find a bucket missing.
+    ``loaded`` is a frame with the ledger's columns, the load counts or not; or the few rows of a batch (with ``spark``) whose
+    buckets are claimed and known to be missing. The rows are written as one file, so that they become
+    visible together. Jobs that share a ledger claim buckets before they load them.
     """
-    spark = loaded.sparkSession
+    if not isinstance(loaded, DataFrame):
+        ledger_table(spark, path).append(loaded)
+        return
     counts = [
         (F.col(c) if c in loaded.columns else F.lit(None)).cast("bigint").alias(c) for c in LOAD_COUNTS
     ]
-    new = loaded if known_new else pending(loaded, read_ledger(spark, path))
-    new.select(*LEDGER_COLUMNS, *counts).coalesce(1).write.mode("append").parquet(path)
+    known = ledger_table(loaded.sparkSession, path)
+    known.append(pending(loaded, known.read()).select(*LEDGER_COLUMNS, *counts))

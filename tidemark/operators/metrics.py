@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.deltas import DeltaTable
 from tidemark.operators.ranking import with_position
-from tidemark.shared import read_or_empty
 
 # --- fixed values: metric names and the window of the load-time mean --------------
 APPLICATION_ID = "ApplicationID"
@@ -93,15 +95,21 @@ def latest(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("name").agg(newest.alias("m")).select("name", "m.value", "m.updated_at")
 
 
+def metrics_table(spark: SparkSession, path: str) -> DeltaTable:
+    """The sink: appended values, of which a merge keeps the latest one of each name."""
+    return DeltaTable(spark, path, METRICS_SCHEMA, latest, fold_after=32)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return latest(read_or_empty(spark, path, METRICS_SCHEMA))
+    return latest(metrics_table(spark, path).read())
 
 
-def write_metrics(spark: SparkSession, path: str, values: dict[str, object]) -> None:
-    """Append current values; ``latest`` makes the newest one visible."""
-    rows = [(name, str(value)) for name, value in values.items() if value is not None]
-    frame = spark.createDataFrame(rows, "name string, value string")
-    frame.withColumn("updated_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+def write_metrics(spark: SparkSession, path: str, values: dict[str, object], at: datetime | None = None) -> None:
+    """Append current values; ``latest`` makes the newest one visible. ``at`` is the time they hold for."""
+    at = at or datetime.now(UTC)
+    sink = metrics_table(spark, path)
+    sink.append([(name, str(value), at) for name, value in values.items() if value is not None])
+    sink.fold()
 
 
 def recent_loads(load_log: DataFrame, window: int = TRAILING_LOADS) -> DataFrame:

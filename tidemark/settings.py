@@ -57,7 +57,9 @@ class LoadSettings:
     """What one load job needs to know.
 
     ``root`` is a folder all executors reach. The table, its region bounds, the
-    processed ledger and the metrics live below it.
+    processed ledger and the metrics live below it. ``claim_seconds`` is how long a bucket stays claimed by a
+    job that is gone, ``split_every`` after how many loads hot regions are split, ``compact_units`` how many
+    buckets (or merged ones of a size) are merged into one; 0 turns the latter two off.
     """
 
     table: str
@@ -70,6 +72,9 @@ class LoadSettings:
     resolve_location: bool = False
     refresh_hours: int = 24
     view_sql: str | None = None
+    claim_seconds: int = 6 * 3600
+    split_every: int = 8
+    compact_units: int = 48
 
     def __post_init__(self) -> None:
         if self.mode not in ("datatype1", "datatype2"):
@@ -110,6 +115,22 @@ class LoadSettings:
     def expired_path(self) -> str:
         return f"{self.root}/expired"
 
+    @property
+    def claims_path(self) -> str:
+        return f"{self.root}/claims"
+
+    @property
+    def failures_path(self) -> str:
+        return f"{self.root}/failures"
+
+    @property
+    def stats_path(self) -> str:
+        return f"{self.root}/region_stats"
+
+    @property
+    def merges_path(self) -> str:
+        return f"{self.root}/merges"
+
     @property
     def location_path(self) -> str:
         return f"{self.root}/location"

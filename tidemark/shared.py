@@ -74,3 +74,62 @@ def many_folders(spark: SparkSession) -> AbstractContextManager[None]:
     whichever task writes it, so packing small shuffle partitions into one task would
     save no file and only take the parallelism away. Hot partitions are still split."""
     return session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
+
+
+def create_file(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Create a file with its content unless there is one of that name; whether it was created.
+
+    The file system decides who comes first, so of several callers exactly one gets True. HDFS and local file systems do
+    this atomically; an object store has to support conditional writes for it.
+    """
+    fs, hadoop_path = _file_system(spark, path)
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Exception:
+        if fs.exists(hadoop_path):
+            return False
+        raise
+    stream.write(bytearray(content))
+    stream.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> bytes:
+    """A small file's content."""
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Epoch seconds of a file's last change."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file so that it appears whole, under a name that is new."""
+    fs, hadoop_path = _file_system(spark, path)
+    hidden = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f"_{hadoop_path.getName()}")
+    stream = fs.create(hidden, True)
+    stream.write(bytearray(content))
+    stream.close()
+    if not fs.rename(hidden, hadoop_path):
+        raise OSError(f"{path} could not be put in place")
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, hadoop_path = _file_system(spark, source)
+    if not fs.rename(hadoop_path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not become {target}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -28,11 +29,26 @@ def read_buckets(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
         places.setdefault((root, name), []).append(path)
     scans = []
     for (root, name), folders in places.items():
-        reader = spark.read.schema(f"value string, `{name}` bigint").option("basePath", root)
-        scans.append(reader.text(folders).select("value", F.col(name).alias("bucket_ts")))
+        scans.append(_scan(spark, root, name, folders))
     return reduce(DataFrame.unionAll, scans)
 
 
+def _scan(spark: SparkSession, root: str, name: str, folders: list[str]) -> DataFrame:
+    """Folders of one root. If some have partition-like subfolders and others don't, partition discovery refuses them; then the
+    epoch is taken from the file's path, where it is the folder right below the root."""
+    try:
+        reader = spark.read.schema(f"value string, `{name}` bigint").option("basePath", root)
+        return reader.text(folders).select("value", F.col(name).alias("bucket_ts"))
+    except Exception as error:
+        if "CONFLICTING_PARTITION_COLUMN_NAMES" not in str(error):
+            raise
+    step = f"/{re.escape(name)}=([0-9]+)(?=/)"
+    above = len(re.findall(step, f"{root}/"))
+    epochs = F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(step), F.lit(1))
+    lines = spark.read.text(folders, recursiveFileLookup=True)
+    return lines.select("value", F.get(epochs, F.lit(above)).cast("bigint").alias("bucket_ts"))
+
+
 def discover_buckets(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines with the epoch found in the path of the file they came from."""
     lines = spark.read.text(paths, recursiveFileLookup=True)

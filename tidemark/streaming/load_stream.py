@@ -21,8 +21,7 @@ def start_load_stream(
     """
 
     def load(entries: DataFrame, _epoch: int) -> None:
-        while job.load(entries, read_ready(job.spark, manifest)) is not None:
-            pass
+        job.run(lambda: entries, read_ready(job.spark, manifest))
 
     writer = (
         stream_ready(job.spark, manifest, job.settings.buckets_per_load)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -87,10 +88,24 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
 def create_file(spark: SparkSession, path: str, content: bytes) -> bool:
     """Create a file with its content unless there is one of that name; whether it was created.
 
-    The file system decides who comes first, so of several callers exactly one gets True. HDFS and local file systems do
-    this atomically; an object store has to support conditional writes for it.
+    The file system decides who comes first, so of several callers exactly one gets True. HDFS does this atomically; an object
+    store has to support conditional writes for it. Hadoop's local file system only looks before it creates, so there
+    the operating system is asked for a hard link.
     """
     fs, hadoop_path = _file_system(spark, path)
+    if fs.getUri().getScheme() == "file":
+        target = hadoop_path.toUri().getPath()
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        hidden = f"{os.path.dirname(target)}/_{uuid.uuid4().hex}"
+        with open(hidden, "wb") as file:
+            file.write(content)
+        try:
+            os.link(hidden, target)
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(hidden)
+        return True
     try:
         stream = fs.create(hadoop_path, False)
     except Exception:

@@ -1,7 +1,9 @@
 """Token counts and BPE against the libraries whose files they read."""
 
+import base64
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import SHORT, ByteVocabulary, bpe_decode, bpe_encode
 from tidemark.llm.queries import op4_token_counts, op10_bpe
-from tidemark.llm.token_counts import TokenCounter, token_counts
+from tidemark.llm.token_counts import CACHED_CHARS, TokenCounter, token_counts
 
 PIECES, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 ALPHABET = "abcdeinorst    \n\t.,'éß日😀12|<>▁\xa0\x1c"
@@ -92,3 +94,17 @@ def test_queries_equal_the_libraries(spark, sf, pieces, letters):
     for r in op10_bpe(spark, sf).collect():
         ids = letters[1].encode(docs[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(docs[r.doc_id]))
+
+
+def test_long_words_are_cut_where_no_piece_lies():
+    """Words without a space, up to a megabyte: equal to the library, in a time that grows with their length."""
+    draw = random.Random(11)
+    letters = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    mixed = "".join(draw.choice(["the", "ing", "Zeit", "qx", "é", "日本", "7", "=", "/", "aaaa"]) for _ in range(3000))
+    counter = TokenCounter(PIECES)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in (letters, letters[:50_000] + " " + letters[:47], mixed, "日" * 500 + "x" * 500, base64.b64encode(letters[:60_000].encode()).decode()):
+        start = time.perf_counter()
+        assert counter([text]) == [len(library.encode(text))]
+        assert time.perf_counter() - start < 20
+    assert max(map(len, counter.known)) <= CACHED_CHARS

@@ -14,9 +14,14 @@ from tidemark.llm.batches import add_columns
 SPACE = "▁"
 NONE = np.int64(1) << 40  # rank of a pair that the vocabulary doesn't merge
 CACHED_WORDS = 300_000  # of a Python worker; only speed depends on it
+CACHED_CHARS = 64  # longer words are not kept
+CUT_CHARS = 48  # longer words are cut where no piece can lie
 MERGED_SYMBOLS = 1 << 20  # symbols merged in one array
 
 
+_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
 class PairTable:
     """Open addressing from (left symbol, right symbol) to a row of the merge list, looked up for whole arrays."""
 
@@ -93,6 +98,18 @@ class PieceVocabulary:
                 self.chars[ord(text)] = k
         # Long runs of spaces: all run pieces rank last and alike, so a run is filled from the left
         # with the longest one, and whole lengths of it can be counted without merging.
+        # Hashes of all beginnings of pieces, by length, and which of them are whole pieces.
+        whole: dict[int, dict[int, bool]] = {}
+        for piece in pieces:
+            key = ord(piece[0])
+            for size in range(2, len(piece) + 1):
+                key = (key * _BASE + ord(piece[size - 1])) & _MASK
+                found = whole.setdefault(size, {})
+                found[key] = found.get(key, False) or size == len(piece)
+        self.beginnings = []
+        for size in sorted(whole):
+            keys = np.array(sorted(whole[size]), dtype=np.uint64)
+            self.beginnings.append((keys, np.array([whole[size][int(k)] for k in keys], dtype=bool)))
         runs = [k for k, p in enumerate(pieces) if len(p) > 1 and not p.strip(SPACE)]
         self.period = max((len(pieces[k]) for k in runs), default=0) if {order[k] for k in runs} == {order.max()} else 0
 
@@ -115,9 +132,42 @@ class PieceVocabulary:
         unknown = np.flatnonzero(symbols == self.unknown)
         code = codes[unknown]
         np.add.at(total, word[unknown], (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF))
-        self._merge(symbols, word, total)
+        sequence = np.cumsum(self._cuts(codes, word, lengths)) - 1
+        counts = np.zeros(sequence[-1] + 1 if len(sequence) else 0, dtype=np.int64)
+        owner = word[np.flatnonzero(np.r_[True, sequence[1:] != sequence[:-1]])] if len(sequence) else word
+        self._merge(symbols, sequence, counts)
+        np.add.at(total, owner, counts)
         return total
 
+    def _cuts(self, codes: np.ndarray, word: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Where a sequence starts: at each word, and within long words wherever no piece lies over the place.
+
+        A merge makes a piece out of neighbours, so none goes over such a place and both sides can be merged by
+        themselves. That a hash of other characters equals a piece's only means a cut less.
+        """
+        starts = np.r_[True, word[1:] != word[:-1]]
+        at = np.flatnonzero(np.repeat(lengths > CUT_CHARS, lengths))
+        if not len(at):
+            return starts
+        covered = np.zeros(len(codes) + 1, dtype=np.int64)
+        end, key = at, codes[at].astype(np.uint64)
+        for size, (keys, whole) in enumerate(self.beginnings, 2):
+            inside = end + 1 < len(codes)
+            inside[inside] = word[end[inside] + 1] == word[end[inside]]
+            at, end, key = at[inside], end[inside] + 1, key[inside]
+            key = key * np.uint64(_BASE) + codes[end]
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            known = keys[place] == key
+            at, end, key, place = at[known], end[known], key[known], place[known]
+            piece = whole[place]
+            # places after ``at`` up to ``end`` lie within the piece
+            np.add.at(covered, at[piece] + 1, 1)
+            np.add.at(covered, end[piece] + 1, -1)
+            if not len(at):
+                break
+        free = np.cumsum(covered[:-1]) == 0
+        return starts | (free & np.repeat(lengths > CUT_CHARS, lengths))
+
     def _rank(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray, rank: np.ndarray, row: np.ndarray) -> None:
         at = at[(at >= 0) & (at < len(symbols))]
         rank[at] = NONE
@@ -188,7 +238,11 @@ class TokenCounter:
                 self.known.update(zip(part, self.model.count([SPACE + w for w in part]).tolist()))
                 start, size = k + 1, 0
         get = self.known.__getitem__
-        return [sum(map(get, ws)) for ws in words]
+        counts = [sum(map(get, ws)) for ws in words]
+        for w in fresh:
+            if len(w) > CACHED_CHARS:
+                del self.known[w]
+        return counts
 
 
 @lru_cache(maxsize=2)
@@ -201,7 +255,8 @@ def token_counts(docs: DataFrame, model_path: str, *, id_column: str = "doc_id",
 
     The text is cut before each run of spaces, which no piece of the model goes over
     (this is checked). Words that a worker hasn't seen are merged together: every word's
-    best pair at once, until none has a pair left. Unknown characters count as their bytes.
+    best pair at once, until none has a pair left; long words are cut first where no piece can lie. Unknown characters
+    count as their bytes.
 
     Returns ``id_column``, ``n_bytes`` and ``n_tokens``, one row for each input row. A null
     text counts as empty: 0 bytes and 0 tokens. Repeated rows stay, a null id stays null,

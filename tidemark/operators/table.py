@@ -132,9 +132,22 @@ def _served(versions: DataFrame) -> DataFrame:
     return keep_last(versions, ["userid_ts"], NEWEST, ["payload", "location_history"])
 
 
-def serving(spark: SparkSession, settings: LoadSettings, as_of: Column | None = None) -> DataFrame:
-    """The view's rows: last value per key within its time to live."""
-    return _served(visible_versions(spark, settings, as_of))
+def serving(
+    spark: SparkSession, settings: LoadSettings, as_of: Column | None = None, ledger: DataFrame | None = None
+) -> DataFrame:
+    """The view's rows: last value per key within its time to live. With the ``ledger`` expired buckets aren't even opened."""
+    rows = visible_versions(spark, settings, as_of)
+    return _served(rows if ledger is None else in_live_buckets(rows, settings, ledger, as_of))
+
+
+def in_live_buckets(rows: DataFrame, settings: LoadSettings, ledger: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Rows of buckets that hold something not expired, by dynamic partition pruning: the join with the buckets' numbers, as many
+    as fit in the time to live, goes into the scan's partition filter."""
+    spark = rows.sparkSession
+    units = with_unit(ledger.select("bucket_ts", "loaded_at"), merges_table(spark, settings).read())
+    ages = units.groupBy(F.col("unit").alias("bucket_ts")).agg(F.max("loaded_at").alias("loaded_at"))
+    live = ages.where(is_visible(F.col("loaded_at"), table_ttl(spark, settings), as_of)).select("bucket_ts")
+    return rows.join(F.broadcast(live), "bucket_ts", "left_semi")
 
 
 def create_view(spark: SparkSession, settings: LoadSettings, name: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import BUCKET_SECONDS, bucket_start
-from tidemark.operators import ledger
+from tidemark.operators import enrich, ledger
 from tidemark.plans.load import LoadJob
 from tidemark.settings import LoadSettings
 from tidemark.shared import new_folder
@@ -152,7 +152,7 @@ def folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_settings(
-    spark: SparkSession, label: str, buckets_per_load: int = BUCKETS_PER_LOAD
+    spark: SparkSession, label: str, buckets_per_load: int = BUCKETS_PER_LOAD, **more: object
 ) -> LoadSettings:
     root = new_folder(spark, label)
     return LoadSettings(
@@ -160,6 +160,7 @@ def new_settings(
         root=root,
         buckets_per_load=buckets_per_load,
         regions=TABLE_REGIONS,
+        **{"split_every": 0, "compact_units": 0, **more},
     )
 
 
@@ -175,3 +176,49 @@ def _loaded(spark: SparkSession, _app: str, sf_dir: str) -> LoadSettings:
     manifest.announce(folders(spark, sf_dir), listing)
     LoadJob(spark, settings).run(lambda: manifest.read_ready(spark, listing))
     return settings
+
+
+def merged(spark: SparkSession, sf_dir: str) -> LoadSettings:
+    """Settings of a table that holds the same, loaded ten buckets at a time, its regions split after each load and its
+    buckets merged by eights."""
+    return _merged(spark, spark.sparkContext.applicationId, sf_dir)
+
+
+@cache
+def _merged(spark: SparkSession, _app: str, sf_dir: str) -> LoadSettings:
+    settings = new_settings(spark, "merged", 10, split_every=1, compact_units=8)
+    entries = folders(spark, sf_dir)
+    LoadJob(spark, settings).run(lambda: entries)
+    return settings
+
+
+DATED_START = 1_706_745_600
+DATED_STEP = 10 * DAY_SECONDS
+
+
+def dated(spark: SparkSession, sf_dir: str) -> LoadSettings:
+    """Settings of a table loaded ten buckets at a time, ten days apart from 1 February 2024 on, with locations that are read anew
+    each time: the customer's nation with the number of the reading."""
+    return _dated(spark, spark.sparkContext.applicationId, sf_dir)
+
+
+@cache
+def _dated(spark: SparkSession, _app: str, sf_dir: str) -> LoadSettings:
+    settings = new_settings(spark, "dated", 10, resolve_location=True)
+    entries, now, reads = folders(spark, sf_dir), [DATED_START], [0]
+
+    def dimension() -> DataFrame:
+        customer, nation = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation"))
+        named = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+        reads[0] += 1
+        location = F.concat_ws("-", "n_name", F.lit(str(reads[0])))
+        return named.select(F.col("c_custkey").cast("string").alias("user"), location.alias("location"))
+
+    def locate(keyed: DataFrame, location: enrich.RefreshedDimension) -> DataFrame:
+        user = F.reverse(F.substring_index("userid_ts", "-", 1)).alias("user")
+        return enrich.with_location(keyed.select("*", user), location.frame, on=["user"], broadcast=location.broadcast).drop("user")
+
+    job = LoadJob(spark, settings, dimension, locate, clock=lambda: now[0])
+    while job.load(entries) is not None:
+        now[0] += DATED_STEP
+    return settings

@@ -17,6 +17,7 @@ from tidemark.operators import compaction, enrich, ledger, metrics, parse, quali
 from tidemark.operators.claims import Claims, Failures, held
 from tidemark.settings import LoadSettings
 from tidemark.sources.buckets import read_buckets
+from tidemark.sources.dimension import location_of_settings
 
 log = logging.getLogger(__name__)
 
@@ -41,7 +42,7 @@ class LoadJob:
     """Creates what is missing and loads batches; all state is in shared storage.
 
     ``locate`` adds ``location_history`` to keyed rows, given the dimension. It is
-    called only with ``settings.resolve_location``.
+    called only with ``settings.resolve_location``. Without ``dimension`` the location table of the settings is read.
     """
 
     def __init__(
@@ -52,6 +53,8 @@ class LoadJob:
         locate: Callable[[DataFrame, enrich.RefreshedDimension], DataFrame] | None = None,
         clock: Callable[[], float] = time.time,
     ) -> None:
+        if settings.resolve_location and dimension is None and settings.db_kind:
+            dimension = lambda: location_of_settings(spark, settings)
         if settings.resolve_location and (dimension is None or locate is None):
             raise ValueError("resolve_location needs a dimension and a locate step")
         self.spark = spark

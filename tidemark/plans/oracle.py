@@ -101,6 +101,11 @@ busiest AS (
   SELECT user_id AS uid, max(sec) AS last_sec FROM kept GROUP BY user_id
   ORDER BY count(*) DESC, user_id LIMIT 1)"""
 
+_DATED = f"""WITH {_TABLE},
+days AS (SELECT DISTINCT sec // 86400 * 86400 AS bucket_ts FROM ev),
+places AS (
+  SELECT bucket_ts, (row_number() OVER (
+    ORDER BY CASE WHEN bucket_ts % 172800 = 0 THEN 'a' ELSE 'b' END, bucket_ts::varchar) - 1) // 10 + 1 AS load_number FROM days)"""
 _STORED = f"WITH {_TABLE} SELECT bucket_ts, region, userid_ts, payload FROM stored"
 _SERVED = f"WITH {_TABLE} SELECT userid_ts, payload, location_history FROM serving"
 
@@ -223,6 +228,14 @@ ORACLE_SQL: dict[str, str] = {
     "serving_view": _SERVED,
     "point_get": f"{_SERVED} JOIN busiest ON user_id = uid AND sec = last_sec",
     "user_scan": f"{_SERVED} JOIN busiest ON user_id = uid",
+    "sql_user_read": f"{_SERVED} JOIN busiest ON user_id = uid",
+    "merged_view": _SERVED,
+    "retention_stored": f"""{_DATED}
+        SELECT userid_ts, payload FROM serving JOIN places ON bucket_ts = sec // 86400 * 86400 WHERE load_number > 1""",
+    "location_refreshes": f"""{_DATED}
+        SELECT bucket_ts, userid_ts, n_name || '-' || load_number AS location_history
+        FROM stored JOIN places USING (bucket_ts) LEFT JOIN customer ON user_id = c_custkey
+        LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "user_time_range": f"""{_SERVED} JOIN busiest ON user_id = uid
         WHERE sec >= 1704844800 AND sec < 1705708800""",
     "location_enrich": """

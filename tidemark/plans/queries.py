@@ -391,6 +391,33 @@ def user_time_range(spark, sf_dir):
     return table.user_time_range(spark, settings, user["user_id"], 1_704_844_800, 1_705_708_800)
 
 
+@query
+def sql_user_read(spark, sf_dir):
+    """The busiest user's rows by the table's SQL function."""
+    user = _busiest_user(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM {inputs.loaded(spark, sf_dir).table}_user('{user['user_id']}')")
+
+
+@query
+def merged_view(spark, sf_dir):
+    """The view over split regions and merged buckets."""
+    return spark.table(f"{inputs.merged(spark, sf_dir).table}_view")
+
+
+@query
+def retention_stored(spark, sf_dir):
+    """Stored rows still served at 5 March 2024, when the first of the dated loads has expired; its buckets aren't opened."""
+    settings = inputs.dated(spark, sf_dir)
+    as_of = F.timestamp_seconds(F.lit(1_709_596_800))
+    return table.serving(spark, settings, as_of, ledger.read_ledger(spark, settings.ledger_path)).select("userid_ts", "payload")
+
+
+@query
+def location_refreshes(spark, sf_dir):
+    """Location of each key as of its load, over three loads with a refresh each."""
+    return spark.table(inputs.dated(spark, sf_dir).table).select("bucket_ts", "userid_ts", "location_history")
+
+
 # --- enrichment -----------------------------------------------------------------------
 
 

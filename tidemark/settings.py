@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 log = logging.getLogger(__name__)
 
@@ -30,6 +30,12 @@ SETTING_NAMES = {
     "resolveLocation": "resolve_location",
     "locDataUpdateFreq": "refresh_hours",
     "sqlCreateViewQuery": "view_sql",
+    "dbType": "db_kind",
+    "pgConnString": "postgresql_url",
+    "oracleConnString": "oracle_url",
+    "dbUser": "db_user",
+    "dbPass": "db_password",
+    "dbLocationTable": "db_table",
 }
 # -----------------------------------------------------------------------------
 
@@ -59,7 +65,8 @@ class LoadSettings:
     ``root`` is a folder all executors reach. The table, its region bounds, the
     processed ledger and the metrics live below it. ``claim_seconds`` is how long a bucket stays claimed by a
     job that is gone, ``split_every`` after how many loads hot regions are split, ``compact_units`` how many
-    buckets (or merged ones of a size) are merged into one; 0 turns the latter two off.
+    buckets (or merged ones of a size) are merged into one; 0 turns the latter two off. The ``db`` settings name the
+    location table; with a whole-number ``db_partition_column`` it is read over ``db_connections`` at once.
     """
 
     table: str
@@ -75,6 +82,14 @@ class LoadSettings:
     claim_seconds: int = 6 * 3600
     split_every: int = 8
     compact_units: int = 48
+    db_kind: str | None = None
+    postgresql_url: str | None = None
+    oracle_url: str | None = None
+    db_user: str = ""
+    db_password: str = field(default="", repr=False)
+    db_table: str | None = None
+    db_partition_column: str | None = None
+    db_connections: int = 1
 
     def __post_init__(self) -> None:
         if self.mode not in ("datatype1", "datatype2"):
@@ -86,6 +101,7 @@ class LoadSettings:
         self.compression = codec_or_default(self.compression)
         self.ttl_seconds = int(self.ttl_seconds)
         self.refresh_hours = int(self.refresh_hours)
+        self.db_connections = int(self.db_connections)
         if isinstance(self.resolve_location, str):
             self.resolve_location = self.resolve_location == "true"
         self.root = self.root.rstrip("/")

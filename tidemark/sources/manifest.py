@@ -24,14 +24,19 @@ def read_ready(spark: SparkSession, manifest: str) -> DataFrame:
     return entries.select("bucket_ts", F.col("value").alias("path"))
 
 
-def stream_ready(spark: SparkSession, manifest: str, buckets_per_load: int) -> DataFrame:
+def stream_ready(
+    spark: SparkSession, manifest: str, buckets_per_load: int, archive: str | None = None
+) -> DataFrame:
     """New ready entries as they appear; one file is one bucket, so the file limit
     bounds the buckets of a micro-batch (an entry sent again counts too). Old entries are
-    never skipped."""
-    entries = (
+    never skipped. With ``archive`` the entries of finished micro-batches move there, so that a trigger lists only what
+    it has not handled; a file that is moved in the meantime is not missed."""
+    reader = (
         spark.readStream.schema(MANIFEST_SCHEMA)
         .option("maxFilesPerTrigger", buckets_per_load)
         .option("maxFileAge", "36500d")
-        .text(manifest)
     )
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    entries = reader.text(manifest)
     return entries.select("bucket_ts", F.col("value").alias("path"))

@@ -8,6 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +17,18 @@ from tidemark.shared import new_folder
 
 #: The empty word ends a text.
 END = b""
-CLASSES, CLASS_WORDS = 32, 64
+#: The words that are predicted one by one; all others share a class and are told apart by their frequency alone.
+CLASSES, CLASS_WORDS = 64, 64
 #: Rows of the hashed weights, powers of two that 16 bits can number: of contexts for classes, and of contexts and classes for words.
 CLASS_ROWS, WORD_ROWS = 1 << 12, 1 << 14
 #: Words with at least this share of the training tokens are counted in every task's memory, so at most its inverse of them.
 COMMON_SHARE = 2.0**-20
-#: Local models that are averaged in a round, at most; each goes over all tokens of its part of the input.
-TRAINERS = 1024
-ROUNDS = 1
-RATE = 0.3
+#: Length of the gradient step, and how many tokens of the prior it is damped by.
+RATE, DAMPING = 0.6, 100.0
 STEP_TOKENS = 8192
 FLUSH_WORDS = 400_000
-_BLOCKS = 64
+#: The counts are summed in this many blocks, and of so many tasks at once.
+_BLOCKS, FAN_IN = 64, 128
 _START = np.uint64(0x5BD1E995)
 _FAR = np.float32(-1e9)
 
@@ -163,105 +164,91 @@ def log_chances(weights: Weights, batch: Batch) -> np.ndarray:
     return out
 
 
-def _run_sums(values: np.ndarray, source: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Sums of ``values[source]`` over runs: the k-th of all short runs at once, long runs one by one. ``add.reduceat`` takes four times as long."""
-    total = np.take(values, source[first], axis=0)
-    live, k = np.flatnonzero((size > 1) & (size <= 24)), 1
-    while len(live):
-        total[live] += np.take(values, source[first[live] + k], axis=0)
-        k += 1
-        live = live[size[live] > k]
-    for run in np.flatnonzero(size > 24):
-        total[run] = values[source[first[run] : first[run] + size[run]]].sum(axis=0)
-    return total
-
-
-class Trainer:
-    """Gradient steps on a local copy of the weights, scaled for each row by the gradients it has had."""
-
-    def __init__(self, weights: Weights, rate: float):
-        self.start, self.rate = weights, rate
-        self.tables = [weights.class_rows.copy(), weights.word_rows.copy()]
-        self.scratch = [Scratch(CLASSES + 1), Scratch(CLASS_WORDS)]
-        self.squares = [np.zeros(len(t), np.float32) for t in self.tables]
-        self.uses = [np.zeros(len(t), np.float32) for t in self.tables]
-
-    def _step(self, layer: int, rows: np.ndarray, target: np.ndarray, bias: np.ndarray, of: np.ndarray | None = None) -> None:
-        table = self.tables[layer]
-        slope = self.scratch[layer].logits(table, rows, bias, of)
-        slope -= slope.max(axis=1)[:, None]
-        np.exp(slope, out=slope)
-        slope *= (1 / slope.sum(axis=1))[:, None]
-        slope[np.arange(len(slope)), target] -= 1
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")  # a radix sort for 16 bits
-        sorted_rows = flat[order]
-        first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-        row, size = sorted_rows[first], np.diff(np.r_[first, len(flat)])
-        total = _run_sums(slope, order // rows.shape[1], first, size)
-        self.uses[layer][row] += size
-        self.squares[layer][row] += np.einsum("ij,ij->i", total, total)
-        total *= (self.rate / np.sqrt(self.squares[layer][row] + 1e-6))[:, None]
-        table[row] -= total
+class Gradient:
+    """What the gradient at the biases needs: how often each class and word came with each hashed row.
+
+    Observed counts less expected ones are the gradient of the log-likelihood, and at the biases the expected ones follow from
+    the tokens of each row. So a task counts, and Spark sums whole numbers: the result is the same
+    whatever the tasks were.
+    """
+
+    SHAPES = ((CLASS_ROWS, CLASSES + 1), (WORD_ROWS, CLASS_WORDS), (WORD_ROWS, CLASSES))
+
+    def __init__(self, flat: np.ndarray | None = None):
+        sizes = [a * b for a, b in self.SHAPES]
+        self.flat = np.zeros(sum(sizes), dtype=np.int64) if flat is None else flat
+        cuts = np.cumsum(sizes)[:-1]
+        self.classes, self.words, self.word_classes = (x.reshape(shape) for x, shape in zip(np.split(self.flat, cuts), self.SHAPES))
 
     def learn(self, batch: Batch) -> None:
-        for a in range(0, len(batch.words), STEP_TOKENS):
-            b = min(a + STEP_TOKENS, len(batch.words))
-            self._step(0, batch.class_features(a, b), batch.target[a:b], self.start.class_bias)
-            at = a + np.flatnonzero(batch.in_head[a:b])
-            if len(at):
-                self._step(1, batch.word_features(at), batch.place[at] % CLASS_WORDS, self.start.word_bias, batch.target[at])
-
-    def blocks(self):
-        """(block, updates, uses) of the rows, cut into ``_BLOCKS`` blocks for each layer."""
-        for layer, (new, old) in enumerate(zip(self.tables, (self.start.class_rows, self.start.word_rows))):
-            pieces = zip(np.array_split(new - old, _BLOCKS), np.array_split(self.uses[layer], _BLOCKS))
-            for k, (change, uses) in enumerate(pieces):
-                yield layer * _BLOCKS + k, change.astype(np.float16).tobytes(), uses.tobytes()
-
-
-def _average(group: pd.DataFrame) -> pd.DataFrame:
-    """The mean update of each row, weighted by how often each trainer used it. At most ``TRAINERS`` rows."""
-    total = uses = 0
-    for change, used in zip(group["change"], group["uses"]):
-        used = np.frombuffer(used, np.float32)
-        total = total + np.frombuffer(change, np.float16).reshape(len(used), -1).astype(np.float32) * used[:, None]
-        uses = uses + used
-    mean = total / np.maximum(uses, 1)[:, None]
-    return pd.DataFrame({"block": [int(group["block"].iloc[0])], "change": [mean.astype(np.float32).tobytes()]})
-
-
-def train(docs: DataFrame, vocabulary: Vocabulary, *, text_column: str = "text", rounds: int = ROUNDS, rate: float = RATE) -> Weights:
-    """Each round, every trainer takes gradient steps over its part of all training texts; Spark averages the updates."""
-    context = docs.sparkSession.sparkContext
-    weights = Weights(vocabulary)
-    for _ in range(rounds):
-        shared = context.broadcast((weights, vocabulary))  # rows fixed by the constants above, at most 1 / COMMON_SHARE words
-
-        def work(shared=shared):
-            def step(parts):
-                start, words = shared.value
-                trainer = Trainer(start, rate)
-                for part in parts:
-                    trainer.learn(Batch(part[text_column], words))
-                found = list(trainer.blocks())
-                yield {"block": [x[0] for x in found], "change": [x[1] for x in found], "uses": [x[2] for x in found]}
-
-            return step
-
-        updates = emit_rows(docs.coalesce(TRAINERS), [text_column], work, {"block": "int", "change": "binary", "uses": "binary"})
-        for block, change in updates.groupBy("block").applyInPandas(_average, "block int, change binary").collect():
-            table = (weights.class_rows, weights.word_rows)[block // _BLOCKS]
-            rows = np.array_split(np.arange(len(table)), _BLOCKS)[block % _BLOCKS]
-            table[rows] += np.frombuffer(change, np.float32).reshape(len(rows), -1)
-    return weights
-
-
-def score_texts(docs: DataFrame, training: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
+        def count(table, rows, of):
+            table += np.bincount((rows.astype(np.int64) * table.shape[1] + of[:, None]).ravel(), minlength=table.size).reshape(table.shape)
+
+        count(self.classes, batch.class_features(0, len(batch.words)), batch.target)
+        at = np.flatnonzero(batch.in_head)
+        rows = batch.word_features(at)
+        count(self.words, rows, batch.place[at] % CLASS_WORDS)
+        count(self.word_classes, rows, batch.target[at])
+
+    def stepped(self, weights: Weights, rate: float = RATE, damping: float = DAMPING) -> Weights:
+        """One step from the biases, in the logarithms that the weights are: the damped ratio of observed to expected counts."""
+        chance = np.exp(weights.class_bias.astype(np.float64))
+        tokens_ = self.classes.sum(axis=1, keepdims=True)
+        some = chance > 0
+        weights.class_rows[:, some] = rate * np.log((self.classes + damping * chance)[:, some] / ((tokens_ + damping) * chance)[:, some])
+        by_class = np.where(weights.word_bias > _FAR, np.exp(weights.word_bias.astype(np.float64)), 0)
+        tokens_ = self.word_classes.sum(axis=1, keepdims=True)
+        chance = self.word_classes @ by_class / np.maximum(tokens_, 1)
+        expected = np.where(chance > 0, (tokens_ + damping) * chance, 1)
+        weights.word_rows[:] = np.where(chance > 0, rate * np.log((self.words + damping * chance) / expected + (chance <= 0)), 0)
+        return weights
+
+
+def _summed(group: pd.DataFrame) -> pd.DataFrame:
+    """The sum of the same block of counts of at most ``FAN_IN`` tasks."""
+    total = 0
+    for counts in group["counts"]:
+        total = total + np.frombuffer(counts, np.int64)
+    first = group.iloc[0]
+    return pd.DataFrame({"block": [int(first["block"])], "part": [int(first["next_part"])], "counts": [total.tobytes()]})
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, *, text_column: str = "text") -> Weights:
+    """A gradient step over all tokens of all training texts, summed by Spark in a tree of tasks."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(vocabulary)  # at most 1 / COMMON_SHARE words
+
+    def work():
+        def step(parts):
+            gradient = Gradient()
+            for part in parts:
+                gradient.learn(Batch(part[text_column], shared.value))
+            blocks = np.array_split(gradient.flat, _BLOCKS)
+            yield {"block": list(range(_BLOCKS)), "part": [TaskContext.get().partitionId()] * _BLOCKS, "counts": [b.tobytes() for b in blocks]}
+
+        return step
+
+    schema = {"block": "int", "part": "int", "counts": "binary"}
+    sums = emit_rows(docs, [text_column], work, schema)
+    while True:
+        folder = new_folder(spark, "gradient")
+        sums.write.parquet(folder)
+        sums = spark.read.parquet(folder)
+        parts = (sums.agg(F.max("part")).first()[0] or 0) + 1
+        if parts == 1:
+            break
+        grouped = sums.withColumn("next_part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("block", "next_part")
+        sums = grouped.applyInPandas(_summed, "block int, part int, counts binary")
+    rows = sorted((r["block"], r["counts"]) for r in sums.collect())  # the tables of fixed size, once
+    flat = np.concatenate([np.frombuffer(c, np.int64) for _, c in rows]) if rows else None
+    return Gradient(flat).stepped(Weights(vocabulary))
+
+
+def score_texts(docs: DataFrame, training: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Log10 probabilities of whole texts under models of the ``training`` rows.
 
     Returns ``id_column``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (words independent, one added to all counts)
-    and ``score`` (the maximum-entropy model), one row for each input row.
+    and ``score`` (the maximum-entropy model), one row for each input row. The scores don't depend on how the rows are partitioned.
 
     Words outside the common ones have no bound, so their counts aren't sent out: texts are scored without them, and
     their counts come by a join on the word and a sum by text. Common words aren't in that join, so it has no hot word but
@@ -277,7 +264,7 @@ def score_texts(docs: DataFrame, training: DataFrame, *, id_column: str = "doc_i
     n, v = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
     common = counts.where(F.col("c") >= COMMON_SHARE * n).toArrow()
     vocabulary = Vocabulary(dict(zip(common.column(0).to_pylist(), common.column(1).to_pylist())), n, v)
-    weights = train(training, vocabulary, text_column=text_column, rounds=rounds)
+    weights = train(training, vocabulary, text_column=text_column)
     shared = spark.sparkContext.broadcast((weights, vocabulary))  # at most 1 / COMMON_SHARE words
 
     def work():

@@ -8,7 +8,7 @@ import pytest
 
 from tidemark.llm import decontaminate
 from tidemark.llm.decontaminate import Benchmark, benchmark_hits, words
-from tidemark.llm.licenses import SENTENCES, Recognizer, recognizer, scan_licenses
+from tidemark.llm.licenses import GRANTS, NAMES, SENTENCES, Recognizer, recognizer, scan_licenses
 from tidemark.llm import pii
 from tidemark.llm.batches import add_columns
 from tidemark.llm.pii import all_spans, base_spans, find_personal_data, luhn, redact, score_patterns, trusted_patterns
@@ -97,6 +97,38 @@ def test_license_rules():
     assert scan("The license of this is unknown. MIT is a university.") == []
 
 
+@pytest.mark.parametrize("spdx", sorted(NAMES))
+def test_names_in_running_prose(spdx):
+    known = recognizer()
+    scan = lambda t: known.licenses([n for n, _ in known.sequence(t)])
+    for k, name in enumerate(NAMES[spdx]):
+        grant = GRANTS[k % len(GRANTS)]
+        assert scan(f"As you know, this project is {grant} the {name}, which we like.\nMore text follows here.") == [spdx]
+        assert scan(f"They {grant}\n   the terms of the\n {name} have it.") == [spdx]
+        assert scan(f"We once wrote about the {name} in a letter.") == []
+    assert scan(f"# SPDX-License-Identifier: {spdx}\nimport os") == [spdx]
+
+
+def test_spdx_expressions():
+    known = recognizer()
+    scan = lambda t: known.licenses([n for n, _ in known.sequence(t)])
+    assert scan("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR MIT */") == ["GPL-2.0-only", "Linux-syscall-note", "MIT"]
+    assert scan("The SPDX list is long. MIT is on it.") == []
+
+
+def test_licenses_by_place():
+    """A shorter license gives way to a longer one only where its sentences are the same ones."""
+    known = recognizer()
+    scan = lambda t: known.licenses([n for n, _ in known.sequence(t)])
+    two = "\n".join(SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary"))
+    three = two + "\n3. " + SENTENCES["bsd-names"]
+    assert scan(two) == ["BSD-2-Clause"] and scan(three) == ["BSD-3-Clause"]
+    for text in (two + "\n\n" + three, three + "\n\nother words\n\n" + two):
+        assert scan(text) == ["BSD-2-Clause", "BSD-3-Clause"]
+    assert scan("This library is free software; " + SENTENCES["lgpl21-terms"]) == ["LGPL-2.1-or-later"]
+    assert scan(SENTENCES["zlib-warranty"] + " In no event. " + SENTENCES["zlib-grant"]) == ["Zlib"]
+
+
 def test_license_hint_drops_nothing():
     known = recognizer()
     everything = Recognizer(SENTENCES, [])

@@ -2,17 +2,21 @@
 
 import itertools
 import threading
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import compaction, ledger, metrics, region_set, table
+from tidemark.operators import compaction, enrich, ledger, metrics, region_set, table
 from tidemark.operators.claims import Claims, Failures, held
 from tidemark.operators.deltas import DeltaTable
 from tidemark.operators.region_set import RegionSet
 from tidemark.plans.load import LoadJob
 from tidemark.settings import LoadSettings
 from tidemark.shared import create_file, file_names
+from tidemark.sources import manifest
+from tidemark.sources.dimension import location_of_settings
+from tidemark.streaming.load_stream import start_load_stream
 
 numbers = itertools.count()
 EPOCHS = [1517805000 + 1800 * i for i in range(12)]
@@ -362,3 +366,83 @@ def test_subfolders_like_partitions_beside_flat_buckets(spark, inbox, settings,
     (nested / "y.txt").write_text(line(EPOCHS[0], 34, "b") + "\n")
     assert [r.buckets for r in LoadJob(spark, made).run(lambda: inbox.ready(entries))] == [2]
     assert sorted(r["userid_ts"] for r in spark.table(made.table).collect()) == sorted([f"21-{EPOCHS[0]}", f"43-{EPOCHS[0]}", f"21-{EPOCHS[1]}"])
+
+
+# --- expiry, archive, locations ----------------------------------------------------------
+
+
+def test_expired_buckets_are_not_opened(spark, inbox, settings):
+    made, now = settings(ttl_seconds=1000), [10**9]
+    job = LoadJob(spark, made, clock=lambda: now[0])
+    for e in EPOCHS[:3]:
+        job.load(inbox.ready([inbox(e, [line(e, 12, "a")])]))
+        now[0] += 600
+    as_of = F.timestamp_seconds(F.lit(10**9 + 1601))
+    done = ledger.read_ledger(spark, made.ledger_path)
+    pruned = table.serving(spark, made, as_of, done)
+    assert sorted(tuple(r) for r in pruned.collect()) == sorted(tuple(r) for r in table.serving(spark, made, as_of).collect())
+    assert pruned.count() == 1
+    plan = plan_of(pruned)
+    assert "dynamicpruning" in plan and "LeftSemi" in plan
+
+
+def test_handled_entries_move_to_the_archive(spark, inbox, settings, tmp_path):
+    made = settings(buckets_per_load=1)
+    listing, checkpoint, archive = (str(tmp_path / n) for n in ("ready", "offsets", "archive"))
+    manifest.announce(inbox.ready([inbox(e, [line(e, 12, "a")]) for e in EPOCHS[:3]]), listing)
+    start_load_stream(LoadJob(spark, made), listing, checkpoint, archive=archive).awaitTermination()
+    late = inbox(EPOCHS[0] - 1800, [line(EPOCHS[0], 34, "late")])
+    manifest.announce(inbox.ready([late]), listing)
+    start_load_stream(LoadJob(spark, made), listing, checkpoint, archive=archive).awaitTermination()
+    done = sorted(r["bucket_ts"] for r in ledger.read_ledger(spark, made.ledger_path).collect())
+    assert done == [EPOCHS[0] - 1800, *EPOCHS[:3]]
+    assert len(list(tmp_path.glob("archive/**/*.txt"))) >= 2
+    assert len(list((tmp_path / "ready").glob("*/*.txt"))) <= 2
+
+
+def test_location_as_of(spark):
+    rows = spark.createDataFrame([(1, "u", 5), (2, "u", 10), (3, "u", 19), (4, "u", 25), (5, "v", 15), (6, "w", 15), (7, None, 15)], "i int, user string, at bigint")
+    dated = [("u", "a", 10), ("u", "b", 20), ("v", "c", 10), ("w", "d", 20), ("u", "a0", 10)]
+    snapshots = spark.createDataFrame(dated, "user string, location string, valid_from bigint")
+    found = enrich.with_location_as_of(rows, snapshots, F.col("at"), on=["user"])
+    assert found.columns == ["i", "user", "at", "location_history"]
+    assert {r["i"]: r["location_history"] for r in found.collect()} == {1: None, 2: "a0", 3: "a0", 4: "b", 5: "c", 6: None, 7: None}
+
+
+def test_snapshots_keep_each_reading(spark, tmp_path):
+    reads = []
+
+    def read():
+        reads.append(1)
+        return spark.createDataFrame([("u", f"p{len(reads)}")], "user string, location string")
+
+    for folder in (str(tmp_path / "kept"), None):
+        reads.clear()
+        dimension = enrich.RefreshedDimension(read, 1, 1000, folder)
+        assert dimension.refresh(1000 + 3601) and dimension.refresh(1000 + 7300)
+        assert sorted(tuple(r) for r in dimension.snapshots().collect()) == [("u", "p1", 1000), ("u", "p2", 4601), ("u", "p3", 8300)]
+
+
+def test_location_table_of_the_settings():
+    names = {
+        "outputTable": "t", "dbType": "oracle", "pgConnString": "jdbc:postgresql://db/n", "oracleConnString": "jdbc:oracle:thin:@//db/n",
+        "dbUser": "u", "dbPass": "p", "dbLocationTable": "places",
+    }
+    made = LoadSettings.from_mapping(names, "/r")
+    assert "'p'" not in repr(made)
+    session = mock.Mock()
+    location_of_settings(session, made)
+    properties = {"user": "u", "password": "p", "driver": "oracle.jdbc.OracleDriver"}
+    session.read.jdbc.assert_called_once_with("jdbc:oracle:thin:@//db/n", "places", properties=properties)
+    made.db_partition_column, made.db_connections = "mcc", 8
+    session = mock.Mock()
+    session.read.jdbc.return_value.first.return_value = (200, 750)
+    location_of_settings(session, made)
+    assert session.read.jdbc.call_args_list[0].args[1] == "(SELECT min(mcc) AS low, max(mcc) AS high FROM places) ends"
+    assert session.read.jdbc.call_args.kwargs == {"column": "mcc", "lowerBound": 200, "upperBound": 751, "numPartitions": 8, "properties": properties}
+    session.read.jdbc.return_value.first.return_value = (None, None)
+    location_of_settings(session, made)
+    assert session.read.jdbc.call_args.kwargs == {"properties": properties}
+    made.oracle_url = None
+    with pytest.raises(ValueError, match="connection string"):
+        location_of_settings(session, made)

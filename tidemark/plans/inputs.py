@@ -100,7 +100,7 @@ def ready_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("bucket_ts", "path", (F.col("batch_id") + 1).alias("iteration"))
 
 
-def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_log(spark: SparkSession, sf_dir: str, batches: DataFrame | None = None) -> DataFrame:
     """One load per iteration, starting when its last bucket is complete and taking one
     second per event."""
     sizes = (
@@ -108,7 +108,8 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(bucket_start(F.col("sec")).alias("bucket_ts"))
         .agg(F.count("*").alias("n_events"))
     )
-    by_load = ready_batches(spark, sf_dir).join(sizes, "bucket_ts").groupBy("iteration")
+    batches = ready_batches(spark, sf_dir) if batches is None else batches
+    by_load = batches.join(sizes, "bucket_ts").groupBy("iteration")
     return by_load.agg(
         (F.max("bucket_ts") + BUCKET_SECONDS).alias("started"),
         (F.max("bucket_ts") + BUCKET_SECONDS + F.sum("n_events")).alias("finished"),

@@ -211,7 +211,14 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT 'DelayBulkLoader', (started - last_ts)::varchar, started FROM all_loads
           UNION ALL SELECT 'lastProcessedPath', paths, finished FROM all_loads
           UNION ALL SELECT 'lastProcessedTS', epochs, finished FROM all_loads
-          UNION ALL SELECT 'lastProcessTime', load_time::varchar, finished FROM all_loads)
+          UNION ALL SELECT 'lastProcessTime', load_time::varchar, finished FROM all_loads
+          UNION ALL SELECT 'NumberOfUnprocessedBucketsAhead',
+                           (SELECT count(*) FROM ready WHERE bucket_ts > last_ts)::varchar, started FROM all_loads
+          UNION ALL SELECT 'ZnodesInReady', (SELECT count(*) FROM ready)::varchar, finished FROM all_loads
+          UNION ALL SELECT 'ZnodesInProcessed',
+                           (SELECT count(*) FROM batches b WHERE b.iteration <= all_loads.iteration)::varchar, finished FROM all_loads
+          UNION ALL SELECT 'CellLocLastUpdate', min(started)::varchar, min(started) FROM all_loads GROUP BY started // 604800
+          UNION ALL SELECT 'ApplicationID', 'loader', min(started) FROM all_loads)
         SELECT name, value, updated_at FROM (
           SELECT *, row_number() OVER (PARTITION BY name ORDER BY updated_at DESC, value DESC) AS rn
           FROM written WHERE value IS NOT NULL) WHERE rn = 1""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,17 +290,20 @@ def last_batch_summary(spark, sf_dir):
 
 @query
 def metrics_latest(spark, sf_dir):
-    """All values the loads of the log wrote, reduced to the last one per name."""
-    log = inputs.load_log(spark, sf_dir)
-    batches = inputs.ready_batches(spark, sf_dir)
+    """All values the loads of the log wrote, put into the sink and read from it after its files were merged."""
+    batches = inputs.ready_batches(spark, sf_dir).checkpoint()
+    log = inputs.load_log(spark, sf_dir, batches).checkpoint()
+    ahead = metrics.buckets_ahead(batches.select("bucket_ts"))
     last = batches.groupBy("iteration").agg(F.max(F.struct("bucket_ts", "path")).alias("b"))
     started = F.timestamp_seconds("started").alias("updated_at")
     finished = F.timestamp_seconds("finished").alias("updated_at")
     before = (
         log.join(last, "iteration")
         .join(metrics.trailing_load_mean(log), "iteration")
+        .join(ahead.withColumnRenamed("bucket_ts", "_last"), F.col("b.bucket_ts") == F.col("_last"))
         .select(
             started,
+            F.col("ahead").alias(metrics.BUCKETS_AHEAD),
             F.col("mean_load_time").alias(metrics.MEAN_LOAD_TIME),
             F.col("b.path").alias(metrics.CURRENT_PATH),
             F.col("b.bucket_ts").alias(metrics.CURRENT_TS),
@@ -309,15 +313,26 @@ def metrics_latest(spark, sf_dir):
     after = (
         log.join(metrics.batch_summary(batches, "iteration"), "iteration")
         .join(metrics.load_times(log), "iteration")
+        .join(F.broadcast(batches.agg(F.count("*").alias("_ready"))), F.lit(True))
         .select(
             finished,
+            F.col("_ready").alias(metrics.READY_COUNT),
+            F.least(F.col("iteration") * inputs.BUCKETS_PER_LOAD, F.col("_ready")).alias(metrics.PROCESSED_COUNT),
             metrics.LAST_PATH,
             metrics.LAST_TS,
             F.col("load_time").alias(metrics.LAST_LOAD_TIME),
         )
     )
-    written = _as_rows(before).unionByName(_as_rows(after)).where(F.col("value").isNotNull())
-    return metrics.latest(written).select("name", "value", F.unix_seconds("updated_at").alias("updated_at"))
+    week = bucket_start(F.col("started"), 7 * inputs.DAY_SECONDS)
+    refreshes = log.groupBy(week.alias("week")).agg(F.min("started").alias("at"))
+    refreshed = refreshes.select(F.timestamp_seconds("at").alias("updated_at"), F.col("at").alias(metrics.LOCATION_UPDATED))
+    begun = log.agg(F.timestamp_seconds(F.min("started")).alias("updated_at"), F.lit("loader").alias(metrics.APPLICATION_ID))
+    written = reduce(DataFrame.unionByName, map(_as_rows, (before, after, refreshed, begun))).where(F.col("value").isNotNull())
+    path = new_folder(spark, "metrics")
+    sink = metrics.metrics_table(spark, path)
+    sink.append(written.select("name", "value", "updated_at"))
+    sink.fold(least=0)
+    return metrics.read_metrics(spark, path).select("name", "value", F.unix_seconds("updated_at").alias("updated_at"))
 
 
 def _as_rows(wide):

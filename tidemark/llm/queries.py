@@ -139,6 +139,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+        ), cut AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+                   regexp_extract_all(t, '[^\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+') AS shown
+            FROM docs
+        ), windows AS (
+            SELECT rid, i, list_slice(w, i, i + 4) AS win FROM cut, unnest(range(1, len(w) - 3)) r(i)
+        ), often AS (
+            SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM windows) WHERE c > 1
+        ), repeats AS (
+            SELECT rid, count(DISTINCT i + k) AS n FROM often, range(0, 5) s(k) GROUP BY rid
+        ), measured AS (
+            SELECT rid, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+                   len(lines) AS n_lines, len(regexp_extract_all(t, '[A-ZÀ-ÖØ-Þ]')) AS upper_, len(regexp_extract_all(t, '[a-zà-öø-ÿ]')) AS lower_,
+                   len(list_filter(shown, lambda x: regexp_matches(x, '[\p{L}\p{Nl}\p{No}]'))) AS lettered
+            FROM cut LEFT JOIN repeats USING (rid)
+        ), judged AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND 10 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * n_lines
+               AND 2 * n_words <= word_chars AND word_chars <= 20 * n_words AND upper_ <= lower_ AND 2 * lettered >= n_words AS kept
+        FROM judged
+    """,
+    "op6_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(list_slice(w, i, i + 12), ' ') AS win
+            FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) r(i) WHERE len(w) > 0
+        ), places AS (
+            SELECT rid, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS win
+            FROM docs, (SELECT DISTINCT size FROM windows), unnest(range(1, len(w) - size + 2)) r(i) WHERE len(w) >= size
+        ), found AS (
+            SELECT rid, i, size, item_id FROM places JOIN windows USING (size, win)
+        ), hit AS (
+            SELECT rid, count(DISTINCT place) AS n FROM (SELECT DISTINCT rid, unnest(range(i, i + size)) AS place FROM found) GROUP BY rid
+        ), named AS (
+            SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM found GROUP BY rid
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+    """,
     "op3_warc": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -112,7 +113,8 @@ class Contexts:
     """Lexical patterns before positions of a text, asked for in rising order; the words of a line are found once."""
 
     def __init__(self, text: str):
-        self.text, self.line_end, self.ends, self.words = text, -1, [], []
+        self.text, self.line_end = text, -1
+        self.starts, self.ends = array("q"), array("q")  # of the line's words
 
     def before(self, start: int) -> str | None:
         """The name in ``name = "``, else the last two words of the line that lie before ``start``."""
@@ -122,12 +124,14 @@ class Contexts:
         if start > self.line_end:
             first = self.text.rfind("\n", 0, start) + 1
             self.line_end = self.text.find("\n", start) % (len(self.text) + 1)
-            found = list(_WORD.finditer(self.text, first, self.line_end))
-            self.ends, self.words = [m.end() for m in found], found
+            self.starts, self.ends = array("q"), array("q")
+            for m in _WORD.finditer(self.text, first, self.line_end):
+                self.starts.append(m.start())
+                self.ends.append(m.end())
         k = bisect_right(self.ends, start)
         # a word that goes on to the position is cut there
-        cut = [self.text[self.words[k].start() : start]] if k < len(self.words) and self.words[k].start() < start else []
-        last = [m[0] for m in self.words[max(0, k - 2) : k]] + cut
+        cut = [self.text[self.starts[k] : start]] if k < len(self.starts) and self.starts[k] < start else []
+        last = [self.text[a:b] for a, b in zip(self.starts[max(0, k - 2) : k], self.ends[max(0, k - 2) : k])] + cut
         return "words " + " ".join(w.lower() for w in last[-2:]) if len(last) >= 2 else None
 
 

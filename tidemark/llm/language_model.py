@@ -25,7 +25,7 @@ CLASS_ROWS, WORD_ROWS = 1 << 12, 1 << 14
 COMMON_SHARE = 2.0**-20
 #: Length of the gradient step, and how many tokens of the prior it is damped by.
 RATE, DAMPING = 0.6, 100.0
-STEP_TOKENS = 8192
+STEP_TOKENS, COUNT_TOKENS = 8192, 1 << 17
 FLUSH_WORDS = 400_000
 #: The counts are summed in this many blocks, and of so many tasks at once.
 _BLOCKS, FAN_IN = 64, 128
@@ -184,11 +184,13 @@ class Gradient:
         def count(table, rows, of):
             table += np.bincount((rows.astype(np.int64) * table.shape[1] + of[:, None]).ravel(), minlength=table.size).reshape(table.shape)
 
-        count(self.classes, batch.class_features(0, len(batch.words)), batch.target)
-        at = np.flatnonzero(batch.in_head)
-        rows = batch.word_features(at)
-        count(self.words, rows, batch.place[at] % CLASS_WORDS)
-        count(self.word_classes, rows, batch.target[at])
+        for a in range(0, len(batch.words), COUNT_TOKENS):
+            b = min(a + COUNT_TOKENS, len(batch.words))
+            count(self.classes, batch.class_features(a, b), batch.target[a:b])
+            at = a + np.flatnonzero(batch.in_head[a:b])
+            rows = batch.word_features(at)
+            count(self.words, rows, batch.place[at] % CLASS_WORDS)
+            count(self.word_classes, rows, batch.target[at])
 
     def stepped(self, weights: Weights, rate: float = RATE, damping: float = DAMPING) -> Weights:
         """One step from the biases, in the logarithms that the weights are: the damped ratio of observed to expected counts."""
@@ -223,8 +225,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, *, text_column: str = "text")
             gradient = Gradient()
             for part in parts:
                 gradient.learn(Batch(part[text_column], shared.value))
-            blocks = np.array_split(gradient.flat, _BLOCKS)
-            yield {"block": list(range(_BLOCKS)), "part": [TaskContext.get().partitionId()] * _BLOCKS, "counts": [b.tobytes() for b in blocks]}
+            for k, block in enumerate(np.array_split(gradient.flat, _BLOCKS)):
+                yield {"block": [k], "part": [TaskContext.get().partitionId()], "counts": [block.tobytes()]}
 
         return step
 

@@ -72,6 +72,7 @@ class LoadJob:
         self._failures = Failures(spark, settings.failures_path)
         self._failed: dict[str, dict] = {}
         self._failed_now: set[str] = set()
+        self._was_last = False
         self._stats: list[list[Row]] = []
         self._units_allowed = settings.compact_units
         self.location = None
@@ -96,6 +97,8 @@ class LoadJob:
             if result is None:
                 break
             results.append(result)
+            if self._was_last:
+                break
         self._failed_now = set()
         if first_error is not None:
             raise first_error
@@ -140,7 +143,9 @@ class LoadJob:
             waiting = ledger.pending(ledger.unique_buckets(ready), processed)
             if apart:
                 waiting = waiting.where(~F.col("bucket_ts").cast("string").isin(sorted(apart)))
-            batch = ledger.next_batch(waiting, size).collect() or self._due(processed)
+            batch = ledger.next_batch(waiting, size).collect()
+            self._was_last = len(batch) < size and not apart
+            batch = batch or self._due(processed)
             if not batch:
                 return [], processed
             mine = [row for row in batch if self._claims.take(row["bucket_ts"])]

@@ -178,8 +178,8 @@ RULES = [
     ("MIT-0", ["mit-0-grant"]),
 ]
 
-# A sentence ends at a stop before white space or at a blank line; a single line break is white space.
-_END = re.compile(r"[.:;!?](?=\s|$)|\n\s*\n|\n(?=\s*(?:[A-Z]|\d+\.\s|[-*]\s))")
+# A known sentence ends at a stop before white space, but for the one of a version; then the parts follow each other.
+_END = re.compile(r"(?<!\bv)[.:;!?](?=\s|$)|\n\s*\n|\n(?=\s*(?:[A-Z]|\d+\.\s|[-*]\s))")
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _WORD = re.compile(r"[^\W_]+")
 _SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() -]+)")
@@ -224,9 +224,9 @@ class Recognizer:
         for spdx, rule in self.rules:
             self.rules_of.setdefault(rule[0], []).append((spdx, rule))
         # Each known sentence has one of these words, its longest but for common verbs, in any text that contains it.
-        common = {w for g in GRANTS for w in g.split()}
+        common = {"the", "terms", "of", "by", *(w for g in GRANTS for w in g.split())}
         telling = {max([w for w in s.split() if w not in common] or s.split(), key=len) for s in self.known}
-        self.hint = re.compile("|".join([*sorted(map(re.escape, telling)), "spdx"]))
+        self.hint = re.compile(rf"(?<![^\W_])(?:{'|'.join([*sorted(map(re.escape, telling)), 'spdx'])})(?![^\W_])")
 
     def sequence(self, text: str) -> list[tuple[str, int]]:
         """(identifier, character position) of the known sentences of a text, in order; of two at a place the longer one, and

@@ -104,12 +104,13 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return latest(metrics_table(spark, path).read())
 
 
-def write_metrics(spark: SparkSession, path: str, values: dict[str, object], at: datetime | None = None) -> None:
-    """Append current values; ``latest`` makes the newest one visible. ``at`` is the time they hold for."""
-    at = at or datetime.now(UTC)
+def write_metrics(spark: SparkSession, path: str, values: dict[str, object], fold: bool = True) -> None:
+    """Append current values; ``latest`` makes the newest one visible. With ``fold`` it is seen to that files don't pile up."""
+    at = datetime.now(UTC)
     sink = metrics_table(spark, path)
     sink.append([(name, str(value), at) for name, value in values.items() if value is not None])
-    sink.fold()
+    if fold:
+        sink.fold()
 
 
 def recent_loads(load_log: DataFrame, window: int = TRAILING_LOADS) -> DataFrame:

@@ -81,6 +81,7 @@ class LoadJob:
                 dimension, settings.refresh_hours, int(clock()), settings.location_path
             )
         self._freed: int | None = None
+        self._writes = 0
         self._metrics({metrics.APPLICATION_ID: spark.sparkContext.applicationId})
 
     def run(self, ready: Callable[[], DataFrame], listing: DataFrame | None = None) -> list[LoadResult]:
@@ -331,7 +332,8 @@ class LoadJob:
     # --- metrics -------------------------------------------------------------------
 
     def _metrics(self, values: dict[str, object]) -> None:
-        metrics.write_metrics(self.spark, self.settings.metrics_path, values)
+        self._writes += 1
+        metrics.write_metrics(self.spark, self.settings.metrics_path, values, fold=self._writes % 16 == 1)
 
     def _backlog(self, listing: DataFrame, processed: DataFrame, bucket) -> Row:
         """Sizes of both lists, and how many waiting buckets are newer than ``bucket``."""

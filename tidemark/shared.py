@@ -80,6 +80,9 @@ def many_folders(spark: SparkSession) -> AbstractContextManager[None]:
 def file_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, sorted; none if there is no such folder."""
     fs, hadoop_path = _file_system(spark, path)
+    if fs.getUri().getScheme() == "file":
+        target = hadoop_path.toUri().getPath()
+        return sorted(n for n in os.listdir(target) if not n.endswith(".crc")) if os.path.isdir(target) else []
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))

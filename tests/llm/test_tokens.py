@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidemark.llm import bpe
 from tidemark.llm.bpe import SHORT, ByteVocabulary, bpe_decode, bpe_encode
 from tidemark.llm.queries import op4_token_counts, op10_bpe
 from tidemark.llm.token_counts import CACHED_CHARS, TokenCounter, token_counts
@@ -85,6 +86,44 @@ def test_round_trip_rows(docs, no_docs, texts):
     assert bpe_encode(no_docs, BYTES, decode=True).count() == 0
 
 
+def test_batches_of_texts_equal_the_library(letters, monkeypatch):
+    """New words are merged many at a time, spaces of any kind stand anywhere, few chunks are kept, long ones never."""
+    library = letters[1]
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 500)
+    own = ByteVocabulary(BYTES)
+    draw = random.Random(8)
+    spaces = [" ", "  ", " \n", "\n ", "\t", "\x85", " \x1c ", "\u3000 ", "   ", ".", "é", "it's", "x" * 40, "<|endoftext|>"]
+    mixed = ["".join(draw.choice(spaces) for _ in range(draw.randint(0, 9))) for _ in range(2000)]
+    for texts in ([], [""], HARD, drawn(3000, 60, seed=7), mixed, HARD + mixed, ["y" * 90 + " " + "z" * 90 + " end"] * 3):
+        want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+        packed = own.encode_all(texts)
+        assert [list(memoryview(x).cast("i")) for x in packed] == want
+        assert bpe._ragged(packed).to_pylist() == want
+        assert own.decode_all(bpe._ragged(packed)).to_pylist() == texts
+    kept = {*own.known, *own.old}
+    assert "end" in kept and max(map(len, kept)) <= bpe.CACHED_CHARS
+
+
+def test_decoding_of_any_ids_equals_the_library(letters):
+    own, library = letters
+    draw = random.Random(9)
+    rows = [[draw.randrange(len(own.token)) for _ in range(draw.randint(0, 6))] for _ in range(500)]
+    packed = bpe._ragged([bpe._packed(x) for x in rows])
+    assert own.decode_all(packed).to_pylist() == library.decode_batch(rows, skip_special_tokens=False)
+    assert own.decode_all(packed.slice(100, 7)).to_pylist() == [own.decode(x) for x in rows[100:107]]
+
+
+def test_new_words_are_merged_together(letters, monkeypatch):
+    """Invented words, each seen once: hardly any is merged by itself, which took most of the time."""
+    own, library = ByteVocabulary(BYTES), letters[1]
+    draw = random.Random(10)
+    text = " ".join("".join(draw.choice("abcdeinorstéü") for _ in range(draw.randint(4, 14))) for _ in range(20_000))
+    alone, merge = [], own.word_ids
+    monkeypatch.setattr(own, "word_ids", lambda word: alone.append(word) or merge(word))
+    assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(alone) < 1000
+
+
 def test_queries_equal_the_libraries(spark, sf, pieces, letters):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in op4_token_counts(spark, sf).collect():

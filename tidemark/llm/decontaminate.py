@@ -7,6 +7,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegralType
 
 from tidemark.llm.batches import add_columns
 
@@ -109,8 +110,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "d
     """Which words of each whole text lie in an occurrence of a benchmark window.
 
     Returns ``keep`` (the id if not given), ``n_words``, ``hit_runs`` (starts and ends of the runs of hit
-    words, alternating), ``hit_items`` (items with occurring windows, as sorted texts) and ``n_hit``. There is no
-    shuffle: every task holds the search tables of one part of the benchmark at a time. A null or empty text
+    words, alternating), ``hit_items`` (items with occurring windows, sorted as texts; whole numbers where the items
+    have such, texts otherwise) and ``n_hit``. There is no shuffle: every task holds the search tables of one part of the benchmark at a time. A null or empty text
     has no words, an item without words has no window; the windows of an item without id mark words but
     name no item; repeated items count once. Repeated rows and null ids stay, empty tables give empty
     results or no hits, other columns are not read.
@@ -145,5 +146,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "d
         columns = list(dict.fromkeys([*keep, text_column]))
         frame = add_columns(frame, columns, [text_column, *carried], work, state)
         carried = ["hit_runs", "hit_items"]
+    item_type = benchmark.schema[item_column].dataType
+    if isinstance(item_type, IntegralType):
+        frame = frame.withColumn("hit_items", F.col("hit_items").cast(ArrayType(item_type)))
     odd = F.aggregate(F.transform("hit_runs", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda a, x: a + x)
     return frame.select(*keep, *state, odd.alias("n_hit"))

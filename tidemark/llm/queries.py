@@ -68,7 +68,7 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    items = F.array_join("hit_items", ",")
+    items = F.array_join(F.col("hit_items").cast("array<string>"), ",")
     return hits.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 

@@ -112,6 +112,22 @@ def test_two_jobs_load_each_bucket_once(spark, inbox, settings):
     assert [n for n in file_names(spark, made.claims_path) if not n.startswith("_")] == []
 
 
+def test_a_number_given_meanwhile_is_not_given_again(spark, inbox, settings):
+    made = settings(buckets_per_load=1, split_every=0)
+    entries = [inbox(e, [line(e, 12, "a")]) for e in EPOCHS[:2]]
+    one, two = (LoadJob(spark, made) for _ in range(2))
+    write, done = one._write, []
+
+    def while_the_other_loads(*args):
+        done.append(two.load(inbox.ready(entries)))
+        return write(*args)
+
+    one._write = while_the_other_loads
+    done.append(one.load(inbox.ready(entries)))
+    assert sorted(r.batch_id for r in done) == [1, 2]
+    assert sorted(r["batch_id"] for r in ledger.read_ledger(spark, made.ledger_path).collect()) == [1, 2]
+
+
 def test_a_claimed_bucket_is_left_alone(spark, inbox, settings):
     made = settings(buckets_per_load=2)
     entries = [inbox(e, [line(e, 12, "a")]) for e in EPOCHS[:2]]

@@ -67,6 +67,7 @@ class LoadJob:
         table.create_functions(spark, settings, self.regions)
         self._ledger = ledger.ledger_table(spark, settings.ledger_path)
         self._ledger_files: list[str] | None = None
+        self._chosen_files: list[str] | None = None
         self._recent: list[Row] | None = None
         self._claims = Claims(spark, settings.claims_path, settings.claim_seconds, clock)
         self._failures = Failures(spark, settings.failures_path)
@@ -137,7 +138,7 @@ class LoadJob:
         else one that has failed and is due again."""
         size = self.settings.buckets_per_load
         while True:
-            files = self._ledger.files()
+            files = self._chosen_files = self._ledger.files()
             processed = self._ledger.read(files)
             self._failed = self._failures.read()
             apart = {*self._claims.held_by_others(), *self._failed}
@@ -212,9 +213,17 @@ class LoadJob:
 
     def _new_batch_id(self, number: int) -> int:
         """The number no other job has; claimed until the ledger holds it."""
-        while not self._claims.take(f"load-{number}"):
-            number += 1
-        return number
+        while True:
+            while not self._claims.take(f"load-{number}"):
+                number += 1
+            if self._ledger.files() == self._chosen_files:
+                return number
+            # another job may have written this number and let go of it since the ledger was read
+            last = self._ledger.read().agg(F.max("batch_id")).first()[0] or 0
+            if last < number:
+                return number
+            self._claims.release([f"load-{number}"])
+            number = last + 1
 
     def _recent_loads(self, processed: DataFrame) -> list[Row]:
         """The last loads' times; what this job wrote itself it knows, as long as no other job wrote."""
